@@ -37,42 +37,44 @@ def _n(cond):
 
 # -- hourly main-gate traffic -------------------------------------------------------------
 
-def hourly_gate_traffic_full(clean: DataFrame) -> DataFrame:
+def hourly_gate_traffic_full(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Entries and exits per (date, hour) at the main gate; an hour with exits only has 0 entries."""
-    return (
+    out = (
         with_record_date(clean)
         .filter(_is_main())
         .groupBy("record_date", record_hour("timestamp").alias("record_hour"))
         .agg(_n(_is_entry()).alias("total_hourly_entries"), _n(_is_exit()).alias("total_hourly_exits"))
-        .orderBy("record_date", "record_hour")
     )
+    return out.orderBy("record_date", "record_hour") if ordered else out
 
 
-def hourly_gate_traffic_daily(clean: DataFrame) -> DataFrame:
+def hourly_gate_traffic_daily(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Main-gate entries per (date, hour); hours without entries are absent."""
-    return (
+    out = (
         with_record_date(clean)
         .filter(_is_main() & _is_entry())
         .groupBy("record_date", record_hour("timestamp").alias("record_hour"))
         .agg(F.count("event_id").alias("total_hourly_entries"))
-        .orderBy("record_date", "record_hour")
     )
+    return out.orderBy("record_date", "record_hour") if ordered else out
 
 
 # -- daily room usage (same in both variants) --------------------------------------------
 
-def daily_room_usage(clean: DataFrame) -> DataFrame:
+def daily_room_usage(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Room entries per (date, room), busiest room first within a date."""
-    return (
+    out = (
         with_record_date(clean)
         .filter(_is_room() & _is_entry())
         .groupBy("record_date", "location")
         .agg(F.count("event_id").alias("total_room_entries"))
-        .orderBy(
-            F.col("record_date").asc_nulls_first(),
-            F.col("total_room_entries").desc(),
-            F.col("location").asc_nulls_last(),
-        )
+    )
+    if not ordered:
+        return out
+    return out.orderBy(
+        F.col("record_date").asc_nulls_first(),
+        F.col("total_room_entries").desc(),
+        F.col("location").asc_nulls_last(),
     )
 
 
@@ -82,9 +84,9 @@ daily_room_usage_daily = daily_room_usage
 
 # -- hourly room usage --------------------------------------------------------------------
 
-def hourly_room_usage_full(clean: DataFrame) -> DataFrame:
+def hourly_room_usage_full(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Room entries and exits per (date, room, hour)."""
-    return (
+    out = (
         with_record_date(clean)
         .filter(_is_room())
         .groupBy("record_date", "location", record_hour("timestamp").alias("record_hour"))
@@ -96,13 +98,13 @@ def hourly_room_usage_full(clean: DataFrame) -> DataFrame:
             "total_entries",
             "total_exits",
         )
-        .orderBy("record_date", "room_id", "record_hour")
     )
+    return out.orderBy("record_date", "room_id", "record_hour") if ordered else out
 
 
-def hourly_room_usage_daily(clean: DataFrame) -> DataFrame:
+def hourly_room_usage_daily(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Room visits (entries with a student) per (date, room, entry hour)."""
-    return (
+    out = (
         with_record_date(clean)
         .filter(_is_room() & _is_entry())
         .groupBy("record_date", "location", record_hour("timestamp").alias("entry_hour"))
@@ -113,8 +115,8 @@ def hourly_room_usage_daily(clean: DataFrame) -> DataFrame:
             "entry_hour",
             "total_visits",
         )
-        .orderBy("record_date", "room_id", "entry_hour")
     )
+    return out.orderBy("record_date", "room_id", "entry_hour") if ordered else out
 
 
 # -- room stay durations ------------------------------------------------------------------
