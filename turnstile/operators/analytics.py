@@ -108,34 +108,37 @@ def daily_visits_by_period(
     """Per (date, period): entries, distinct students, the major with most entries (the
     unknown-student group may win) and that major's year with most entries.
 
-    Ties: smaller major / year wins, null last.
+    Ties: smaller major / year wins, null last. Each student sits in exactly one
+    (major, year) group, so the cell totals are sums over the groups: the whole question is
+    one small aggregate and windows over it, with a single exchange on the cell.
     """
-    per_student = _period_entries(clean, as_of, trailing_days, offset_hours, local_dates)
     cell = ["visit_date", "time_period"]
-    groups = (
-        per_student.join(_known(students), "student_id", "left")
-        .groupBy(*cell, "major", "year")
-        .agg(F.sum("n").alias("_my"))
+    groups = visits_by_period_major_year(
+        clean, students, as_of, trailing_days, offset_hours, local_dates
+    ).repartition(*cell)
+    in_cell = Window.partitionBy(*cell)
+    totals = groups.select(
+        "*",
+        F.sum("visits").over(Window.partitionBy(*cell, "major")).alias("_major_total"),
+        F.sum("visits").over(in_cell).alias("_cell_visits"),
+        F.sum("unique_students").over(in_cell).alias("_cell_students"),
     )
-    major_total = F.sum("_my").over(Window.partitionBy(*cell, "major"))
-    leader = Window.partitionBy(*cell).orderBy(
+    leader = in_cell.orderBy(
         F.col("_major_total").desc(),
         F.col("major").asc_nulls_last(),
-        F.col("_my").desc(),
+        F.col("visits").desc(),
         F.col("year").asc_nulls_last(),
     )
-    top = (
-        groups.withColumn("_major_total", major_total)
-        .withColumn("_rk", F.row_number().over(leader))
-        .filter(F.col("_rk") == 1)
-        .select(*cell, F.col("major").alias("most_visited_major"), F.col("year").alias("most_visited_major_study_year"))
-    )
-    totals = per_student.groupBy(*cell).agg(
-        F.sum("n").alias("visits"), F.count("student_id").alias("unique_students")
-    )
     return (
-        totals.join(top, cell)
-        .select(*cell, "visits", "unique_students", "most_visited_major", "most_visited_major_study_year")
+        totals.select("*", F.row_number().over(leader).alias("_rk"))
+        .filter(F.col("_rk") == 1)
+        .select(
+            *cell,
+            F.col("_cell_visits").alias("visits"),
+            F.col("_cell_students").alias("unique_students"),
+            F.col("major").alias("most_visited_major"),
+            F.col("year").alias("most_visited_major_study_year"),
+        )
         .orderBy(F.col("visit_date").desc(), period_rank(F.col("time_period")))
     )
 

@@ -39,20 +39,22 @@ def pair_entries(
     Order within a key is (timestamp, event_id), nulls last.
     """
     keep = [*keys, *[c for c in extra if c not in keys], "timestamp", "event_id", "event_type"]
-    ev = df.select(*keep).withColumn("_b", _bucket("timestamp", bucket_seconds))
-
     order = [F.col("timestamp").asc_nulls_last(), F.col("event_id").asc_nulls_last()]
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
-    win = (
-        ev.withColumn("_has_next", F.lead(F.lit(True), 1, False).over(w))
-        .withColumn("_next_ts", F.lead("timestamp").over(w))
-        .withColumn("_next_type", F.lead("event_type").over(w))
-        .withColumn("_pos", F.row_number().over(w))
+    bucket = _bucket("timestamp", bucket_seconds)
+    w = Window.partitionBy(*keys, bucket).orderBy(*order)
+    win = df.select(
+        *keep,
+        bucket.alias("_b"),
+        F.lead(F.lit(True), 1, False).over(w).alias("_has_next"),
+        F.lead("timestamp").over(w).alias("_next_ts"),
+        F.lead("event_type").over(w).alias("_next_type"),
+        F.row_number().over(w).alias("_pos"),
     )
+    entry = F.col("event_type") == ENTRY
 
-    inside = win.filter(
-        F.col("_has_next") & (F.col("event_type") == ENTRY) & (F.col("_next_type") == EXIT)
-    ).select(*keep, F.col("_next_ts").alias("exit_timestamp"))
+    inside = win.filter(F.col("_has_next") & entry & (F.col("_next_type") == EXIT)).select(
+        *keep, F.col("_next_ts").alias("exit_timestamp")
+    )
 
     # Bucket edges: the first event of every bucket and its trailing event (at most two
     # rows per key and bucket). Ordered like the events, the edge after a bucket's trailing
@@ -60,9 +62,14 @@ def pair_entries(
     edges = win.filter((F.col("_pos") == 1) | ~F.col("_has_next"))
     wk = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_last(), *order)
     across = (
-        edges.withColumn("_nb_ts", F.lead("timestamp").over(wk))
-        .withColumn("_nb_type", F.lead("event_type").over(wk))
-        .filter(~F.col("_has_next") & (F.col("event_type") == ENTRY) & (F.col("_nb_type") == EXIT))
-        .select(*keep, F.col("_nb_ts").alias("exit_timestamp"))
+        edges.select(
+            *keep,
+            "_has_next",
+            F.lead("timestamp").over(wk).alias("exit_timestamp"),
+            F.lead("event_type").over(wk).alias("_nb_type"),
+        )
+        .filter(~F.col("_has_next") & entry & (F.col("_nb_type") == EXIT))
+        .select(*keep, "exit_timestamp")
     )
-    return inside.unionByName(across).drop("event_type")
+    out = [c for c in keep if c != "event_type"] + ["exit_timestamp"]
+    return inside.union(across).select(*out)

@@ -35,9 +35,11 @@ def dedupe_events(df: DataFrame) -> DataFrame:
     ``row_number() == 1`` is planned as a WindowGroupLimit: each map task already keeps one
     copy per id before the shuffle, so a heavily repeated id does not pile up in one task.
     """
-    order = [F.col(c).asc_nulls_last() for c in _COPY_ORDER if c in df.columns]
+    cols = df.columns
+    order = [F.col(c).asc_nulls_last() for c in _COPY_ORDER if c in cols]
     w = Window.partitionBy("event_id").orderBy(*order)
-    return df.withColumn("_copy", F.row_number().over(w)).filter(F.col("_copy") == 1).drop("_copy")
+    ranked = df.select("*", F.row_number().over(w).alias("_copy"))
+    return ranked.filter(F.col("_copy") == 1).select(*cols)
 
 
 def clean_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFrame:
@@ -49,7 +51,7 @@ def clean_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFram
     cond = F.col("student_id").isNotNull()
     if check_time:
         cond = cond & (F.col("timestamp") <= ts_cutoff(df, "timestamp", as_of))
-    return dedupe_events(with_record_date(df).filter(cond))
+    return dedupe_events(with_record_date(df.filter(cond)))
 
 
 def clean_events_full(df: DataFrame, as_of=None) -> DataFrame:

@@ -13,8 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Column types of the given tables (an explicit schema spares the footer-inference pass).
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def _room_of(event_id: Column) -> Column:
@@ -42,16 +52,17 @@ def gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain view with null students and late duplicate copies (one minute later)."""
     plain = gate_events(spark, sf_dir)
-    nulled = plain.withColumn(
-        "student_id",
-        F.when(plain.event_id.cast("int") % 23 == 0, F.lit(None).cast("string")).otherwise(
-            plain.student_id
-        ),
+    n = plain.event_id.cast("int")
+    nulled = plain.select(
+        "event_id",
+        F.when(n % 23 == 0, F.lit(None).cast("string")).otherwise(plain.student_id).alias("student_id"),
+        "event_type", "gate_type", "location", "timestamp",
     )
-    copies = plain.filter(plain.event_id.cast("int") % 17 == 0).withColumn(
-        "timestamp", F.col("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))
+    copies = plain.filter(n % 17 == 0).select(
+        "event_id", "student_id", "event_type", "gate_type", "location",
+        (F.col("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))).alias("timestamp"),
     )
-    return nulled.unionByName(copies)
+    return nulled.union(copies)
 
 
 def gate_events_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
