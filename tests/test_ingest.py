@@ -54,3 +54,27 @@ def test_route_by_gate(spark, events):
     ]
     back = parse_events(routed).select("event_id", "timestamp")
     assert rows(back) == [("a", dt.datetime(2026, 3, 5, 8)), ("b", dt.datetime(2026, 3, 5, 8, 10))]
+
+
+def test_json_array_file_and_csv(spark, tmp_path):
+    from turnstile.sources import read_events_json, read_students_csv
+
+    path = tmp_path / "events.json"
+    path.write_text(
+        "[\n    {\n        \"event_id\": \"a\",\n        \"student_id\": \"1\",\n        \"event_type\": \"ENTRY\",\n"
+        "        \"gate_type\": \"ROOM_GATE\",\n        \"location\": \"1A\",\n"
+        "        \"timestamp\": \"2026-03-05T09:00:00\"\n    },\n"
+        "    {\n        \"event_id\": \"b\",\n        \"student_id\": \"1\",\n        \"event_type\": \"EXIT\",\n"
+        "        \"gate_type\": \"ROOM_GATE\",\n        \"location\": \"1A\",\n"
+        "        \"timestamp\": \"2026-03-05T10:00:00\"\n    }\n]\n"
+    )
+    df = read_events_json(spark, str(path))
+    assert [(r.event_id, r.timestamp) for r in df.orderBy("event_id").collect()] == [
+        ("a", dt.datetime(2026, 3, 5, 9)), ("b", dt.datetime(2026, 3, 5, 10)),
+    ]
+    csv = tmp_path / "students.csv"
+    csv.write_text("student_id,major,year_of_study,study_level\n2509600,Law,1,Postgraduate\n2509601,Data Science,x,Undergraduate\n")
+    from turnstile.operators.graph import students_dim
+
+    got = sorted(tuple(r) for r in students_dim(read_students_csv(spark, str(csv))).collect())
+    assert got == [("2509600", "Law", 1, "Postgraduate"), ("2509601", "Data Science", None, "Undergraduate")]

@@ -8,13 +8,14 @@ once as tables and read back, which also cuts the lineage a lost executor would
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnstile.config import Settings
 from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
-from turnstile.operators.quality import clean_events_daily, clean_events_full
-from turnstile.sinks import write_report, write_table
+from turnstile.operators.quality import clean_events_daily, clean_events_full, with_record_date
+from turnstile.sinks import preview, write_report, write_table
 from turnstile.sources import read_curated, read_students_csv
 
 
@@ -30,16 +31,36 @@ def _students(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.read.parquet(settings.students)
 
 
-def run_full_batch(spark: SparkSession, settings: Settings, as_of=None, with_graph: bool = True) -> None:
+CLEAN_PARTITIONS = ("record_date", "gate_type")
+CLEAN_CLUSTER = (*CLEAN_PARTITIONS, "timestamp", "event_id")
+
+
+def _publish(reports: dict[str, DataFrame], settings: Settings, daily: bool, show: bool) -> None:
+    for name, df in reports.items():
+        if show:
+            preview(df, name)
+        write_report(df, settings.report(name), daily=daily)
+
+
+def run_full_batch(
+    spark: SparkSession, settings: Settings, as_of=None, with_graph: bool = True, show: bool = False
+) -> None:
     """Whole history: clean table, four reports (replaced), graph tables (replaced)."""
     clean = clean_events_full(read_curated(spark, settings.curated), as_of=as_of)
-    write_table(clean, settings.clean, partition_by=("record_date", "gate_type"))
+    write_table(clean, settings.clean, partition_by=CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTER)
     clean = spark.read.parquet(settings.clean)
 
-    write_report(R.hourly_gate_traffic_full(clean, ordered=False), settings.report("hourly_traffic"))
-    write_report(R.daily_room_usage_full(clean, ordered=False), settings.report("daily_rooms"))
-    write_report(R.hourly_room_usage_full(clean, ordered=False), settings.report("hourly_room_usage"))
-    write_report(R.room_durations_full(clean, ordered=False), settings.report("room_durations"))
+    _publish(
+        {
+            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
+            "daily_rooms": R.daily_room_usage_full(clean, ordered=True),
+            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
+            "room_durations": R.room_durations_full(clean, ordered=True),
+        },
+        settings,
+        daily=False,
+        show=show,
+    )
 
     if with_graph:
         durations = spark.read.parquet(settings.report("room_durations"))
@@ -47,24 +68,37 @@ def run_full_batch(spark: SparkSession, settings: Settings, as_of=None, with_gra
             write_table(table, settings.graph(name))
 
 
-def run_daily_batch(spark: SparkSession, settings: Settings) -> None:
-    """Latest day only; each report replaces just that day's partition.
+def run_daily_batch(spark: SparkSession, settings: Settings, show: bool = False) -> None:
+    """Latest day only; the clean table and each report replace just that day's partitions.
 
     The tables keep one schema for both jobs: the hourly reports are written in their
     whole-history form (entries and exits), restricted to the day. Stays are paired within
-    the day, as the latest-day report defines them.
+    the day, as the latest-day report defines them. The latest date stays a scalar subquery
+    (on a date-partitioned curated table it prunes to one directory).
     """
-    clean = clean_events_daily(read_curated(spark, settings.curated))
-    write_report(R.hourly_gate_traffic_full(clean, ordered=False), settings.report("hourly_traffic"), daily=True)
-    write_report(R.daily_room_usage_daily(clean, ordered=False), settings.report("daily_rooms"), daily=True)
-    write_report(R.hourly_room_usage_full(clean, ordered=False), settings.report("hourly_room_usage"), daily=True)
-    write_report(R.room_durations_daily(clean, ordered=False), settings.report("room_durations"), daily=True)
+    curated = read_curated(spark, settings.curated)
+    write_table(
+        clean_events_daily(curated), settings.clean, partition_by=CLEAN_PARTITIONS, dynamic=True,
+        cluster_by=CLEAN_CLUSTER,
+    )
+    latest = with_record_date(curated).select(F.max("record_date")).scalar()
+    clean = spark.read.parquet(settings.clean).filter(F.col("record_date") == latest)
+
+    _publish(
+        {
+            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
+            "daily_rooms": R.daily_room_usage_daily(clean, ordered=True),
+            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
+            "room_durations": R.room_durations_daily(clean, ordered=True),
+        },
+        settings,
+        daily=True,
+        show=show,
+    )
 
 
 def daily_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The latest-day column sets, as projections of the shared report tables."""
-    from pyspark.sql import functions as F
-
     hourly = tables["hourly_traffic"].filter(F.col("total_hourly_entries") > 0)
     rooms = tables["hourly_room_usage"].filter(F.col("total_entries") > 0)
     return {

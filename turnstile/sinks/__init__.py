@@ -1,5 +1,5 @@
 """Table writers."""
 
-from turnstile.sinks.writers import write_report, write_table
+from turnstile.sinks.writers import preview, write_kafka, write_report, write_table
 
-__all__ = ["write_report", "write_table"]
+__all__ = ["preview", "write_kafka", "write_report", "write_table"]

@@ -78,6 +78,14 @@ def start_ingest(
     return raw, curated
 
 
+def run_stream(spark, settings: Settings, trigger: dict | None = None) -> None:
+    """The long-running ingest: Kafka -> raw log + curated table, until a query stops."""
+    from turnstile.sources.kafka import kafka_stream
+
+    start_ingest(kafka_stream(spark, settings.kafka_servers, settings.topics), settings, trigger)
+    spark.streams.awaitAnyTermination()
+
+
 def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
     """A ``foreachBatch`` function that appends new event / student vertices and PERFORMED
     edges of a micro-batch. Keys already stored are skipped (anti-join), so a replayed
@@ -100,6 +108,7 @@ def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         events = with_record_date(parse_events(batch, schema)).filter(F.col("student_id").isNotNull())
+        events = events.persist()  # one micro-batch, read by three appends
         _append_new(
             events.select("record_date", "event_id", "event_type", "gate_type", "location", "timestamp"),
             settings.graph("v_event"), ["record_date", "event_id"], ("record_date",),
@@ -109,5 +118,6 @@ def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
             settings.graph("e_performed"), ["record_date", "student_id", "event_id"], ("record_date",),
         )
         _append_new(events.select("student_id"), settings.graph("v_student_seen"), ["student_id"])
+        events.unpersist()
 
     return upsert
