@@ -90,17 +90,24 @@ def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
     """A ``foreachBatch`` function that appends new event / student vertices and PERFORMED
     edges of a micro-batch. Keys already stored are skipped (anti-join), so a replayed
     batch, or an event sent twice, adds nothing. The event tables are partitioned by date
-    and the anti-join includes the date, so only the batch's dates are read."""
+    and the anti-join includes the date, so only the batch's date partitions are read."""
 
     def _append_new(batch: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()):
         spark = batch.sparkSession
         fresh = batch.dropDuplicates(keys)
         try:
             stored = spark.read.parquet(path).select(*keys)
-            fresh = fresh.join(stored, keys, "left_anti")
         except Exception as exc:  # first batch: the table does not exist yet
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
+            stored = None
+        if stored is not None:
+            if "record_date" in partition_by:
+                # Only the batch's own days can hold its keys: a static partition filter (a
+                # micro-batch spans a few days), so the stored table is not read whole.
+                days = [r[0] for r in fresh.select("record_date").distinct().collect()]
+                stored = stored.filter(F.col("record_date").isin(days))
+            fresh = fresh.join(stored, keys, "left_anti")
         writer = fresh.write.mode("append").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
