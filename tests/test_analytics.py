@@ -4,7 +4,6 @@ from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators.quality import with_record_date
 
-from conftest import rows
 
 DIM = [("1", "Law", 1), ("2", "Law", 1), ("3", "Law", 2), ("4", "Art", 1), ("5", None, 1)]
 

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from turnstile.schema import LOCAL_OFFSET_HOURS, NIGHT, PERIOD_ORDER, TIME_PERIODS
 
-TimeLike = "str | datetime.datetime | None"
-
 
 def _as_text(value) -> str:
     if isinstance(value, _dt.datetime):
