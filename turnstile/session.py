@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every session gets. Event text carries no zone, so the session zone is pinned to UTC
@@ -67,10 +65,3 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         return spark.sparkContext.getCheckpointDir() or chosen
     return None
 
-
-def staging_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
-    """A path for a written intermediate table under the shared checkpoint folder."""
-    root = checkpoint_dir(spark, fallback)
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set; give a shared folder")
-    return os.path.join(root, "turnstile-staging", name)
