@@ -37,11 +37,28 @@ def test_pairing_random_cases(spark, events):
             when = None if rnd.random() < 0.08 else BASE + dt.timedelta(minutes=rnd.choice([0, 0, 30, 59, 60, 61, 120, 600]))
             data.append((f"e{n:05d}", student, rnd.choice(["ENTRY", "EXIT"]), "ROOM_GATE", rnd.choice(["1A", "1B"]), when))
     df = with_record_date(events(data))
-    for width in (60, 3600):
-        got = sorted(((r.event_id, r.exit_timestamp) for r in pair_entries(df, bucket_seconds=width).collect()), key=repr)
+    for kwargs in ({"bucket_seconds": 60}, {"bucket_seconds": 3600}, {"split": "range", "range_partitions": 16}):
+        got = sorted(((r.event_id, r.exit_timestamp) for r in pair_entries(df, **kwargs).collect()), key=repr)
         assert got == _brute_pairs(data)
 
 
+def test_range_split_spreads_a_flooded_instant(spark, events):
+    """One (student, room) with every event at the same instant: the range split still cuts
+    it into many buckets (event_id breaks the tie), and pairs stay exact."""
+    data = [(f"f{i:05d}", "hot", "ENTRY" if i % 2 == 0 else "EXIT", "ROOM_GATE", "1A", BASE) for i in range(2000)]
+    df = with_record_date(events(data)).repartition(8)
+    got = pair_entries(df, split="range", range_partitions=16)
+    assert got.count() == 1000
+    assert sorted(r.event_id for r in got.collect()) == [f"f{i:05d}" for i in range(0, 2000, 2)]
+    from pyspark.sql import functions as F
+
+    per_bucket = (
+        df.repartitionByRange(16, "student_id", "location", "timestamp", "event_id")
+        .groupBy(F.spark_partition_id().alias("p")).count()
+    )
+    assert per_bucket.count() > 8  # the one key is spread over many tasks
+
+
 def _copy_key(r):
     # (timestamp, student, type, gate, location) ascending, nulls last
     return tuple((v is None, v if v is not None else "") if i else (v is None, v or BASE) for i, v in enumerate([r[5], r[1], r[2], r[3], r[4]]))

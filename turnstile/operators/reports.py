@@ -121,18 +121,26 @@ def hourly_room_usage_daily(clean: DataFrame, ordered: bool = True) -> DataFrame
 
 # -- room stay durations ------------------------------------------------------------------
 
-def room_durations(clean: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ordered: bool = True) -> DataFrame:
+def room_durations(
+    clean: DataFrame,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    ordered: bool = True,
+    split: str = "time",
+) -> DataFrame:
     """One row per room stay: a room ENTRY directly followed (per student and room) by an
     EXIT. Dated by the entry; minutes between the whole seconds, 2 decimals.
 
     On whole-history input a stay may pass midnight; on one day's input it cannot (its
     other half is outside the day), which is the difference between the two variants.
+    ``split="range"`` balances the pairing even when one key floods a single instant (see
+    ``operators.pairing``).
     """
     stays = pair_entries(
         with_record_date(clean).filter(_is_room()),
         keys=("student_id", "location"),
         bucket_seconds=bucket_seconds,
         extra=("record_date",),
+        split=split,
     )
     out = stays.select(
         "record_date",
