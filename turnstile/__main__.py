@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=30, help="trailing days for the period question")
     p.add_argument("--show", action="store_true", help="print the first rows of each output")
     p.add_argument("--write", action="store_true", help="analytics: write the answers as tables")
+    p.add_argument("--pairing", choices=["time", "range"], default="time", help="how stays are paired")
     p.add_argument("--master", default=None)
     return p
 
@@ -36,7 +37,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(app_name=f"turnstile-{args.command}", master=args.master)
-    settings = Settings(root=args.root, kafka_servers=args.kafka, students_csv=args.csv)
+    settings = Settings(
+        root=args.root, kafka_servers=args.kafka, students_csv=args.csv, pairing_split=args.pairing
+    )
     from turnstile.plans import jobs
 
     if args.command == "land-students":

@@ -55,7 +55,7 @@ def run_full_batch(
             "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
             "daily_rooms": R.daily_room_usage_full(clean, ordered=True),
             "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
-            "room_durations": R.room_durations_full(clean, ordered=True),
+            "room_durations": R.room_durations_full(clean, ordered=True, split=settings.pairing_split),
         },
         settings,
         daily=False,
@@ -89,7 +89,7 @@ def run_daily_batch(spark: SparkSession, settings: Settings, show: bool = False)
             "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
             "daily_rooms": R.daily_room_usage_daily(clean, ordered=True),
             "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
-            "room_durations": R.room_durations_daily(clean, ordered=True),
+            "room_durations": R.room_durations_daily(clean, ordered=True, split=settings.pairing_split),
         },
         settings,
         daily=True,
