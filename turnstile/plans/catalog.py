@@ -58,6 +58,10 @@ def _clean_dense(spark, sf):
     return clean_events_full(fx.gate_events_dense(spark, sf), as_of=AS_OF_GRAPH)
 
 
+def _clean_hot(spark, sf):
+    return clean_events_full(fx.gate_events_hot(spark, sf), as_of=AS_OF_GRAPH)
+
+
 def _students(spark, sf):
     return G.students_dim(fx.students(spark, sf))
 
@@ -67,6 +71,7 @@ CTE_DIRTY_DAILY = [("latest", latest_cte("gate_events_dirty")), ("clean", clean_
 CTE_DENSE_DAILY = [("latest", latest_cte("gate_events_dense")), ("clean", clean_daily_cte("latest"))]
 CTE_PLAIN = [("clean", clean_full_cte("gate_events", AS_OF_GRAPH))]
 CTE_DENSE = [("clean", clean_full_cte("gate_events_dense", AS_OF_GRAPH))]
+CTE_HOT = [("clean", clean_full_cte("gate_events_hot", AS_OF_GRAPH))]
 KNOWN = (
     "known",
     " SELECT student_id, major, year_of_study AS year FROM students"
@@ -303,6 +308,11 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         lambda s, sf: R.room_durations_daily(_clean_dense_daily(s, sf)),
         _durations_sql(CTE_DENSE_DAILY),
     ),
+    # one student holding a third of all events: the balanced pairing and pre-aggregation
+    "room_durations_hot_range": (
+        lambda s, sf: R.room_durations_full(_clean_hot(s, sf), split="range"),
+        _durations_sql(CTE_HOT),
+    ),
     # student dimension and graph tables
     "students_dim": (_students, with_views([], "SELECT student_id, major, year_of_study, study_level FROM students")),
     "v_student": (
@@ -358,6 +368,14 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         lambda s, sf: A.daily_visits_by_period(_clean_dense(s, sf), _students(s, sf), **_q2_args()),
         with_views(CTE_DENSE + [KNOWN, _PER_STUDENT], _Q2),
     ),
+    "top5_rooms_by_major_year_hot": (
+        lambda s, sf: A.top_rooms_by_major_year(G.e_entered(_clean_hot(s, sf)), _students(s, sf)),
+        with_views(CTE_HOT + [KNOWN], _Q1),
+    ),
+    "daily_visits_by_period_hot": (
+        lambda s, sf: A.daily_visits_by_period(_clean_hot(s, sf), _students(s, sf), **_q2_args()),
+        with_views(CTE_HOT + [KNOWN, _PER_STUDENT], _Q2),
+    ),
     "visits_by_period_major_year": (
         lambda s, sf: A.visits_by_period_major_year(_clean_plain(s, sf), _students(s, sf), **_q2_args()),
         with_views(CTE_PLAIN + [KNOWN, _PER_STUDENT], _Q2_GROUPS),

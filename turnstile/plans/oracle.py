@@ -34,6 +34,13 @@ VIEWS = {
     CASE WHEN gate_type = 'MAIN_GATE' THEN location
          WHEN CAST(floor(CAST(event_id AS INTEGER) / 2) AS INTEGER) % 2 = 0 THEN '1A' ELSE '1B' END AS location,
     timestamp
+  FROM gate_events""",
+    "gate_events_hot": """
+  SELECT event_id,
+    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN '0' ELSE student_id END AS student_id,
+    event_type, gate_type,
+    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 AND gate_type = 'ROOM_GATE' THEN '1A' ELSE location END AS location,
+    timestamp
   FROM gate_events""",
     "students": """
   SELECT CAST(c_custkey AS VARCHAR) AS student_id, c_mktsegment AS major,
@@ -45,6 +52,7 @@ _VIEW_DEPS = {
     "gate_events": (),
     "gate_events_dirty": ("gate_events",),
     "gate_events_dense": ("gate_events",),
+    "gate_events_hot": ("gate_events",),
     "students": (),
 }
 

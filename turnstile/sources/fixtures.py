@@ -82,6 +82,21 @@ def gate_events_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gate_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain view where one student ("0") holds a third of all events (every id divisible
+    by 3), all of that student's room events in room 1A: the skewed-key case."""
+    plain = gate_events(spark, sf_dir)
+    hot = plain.event_id.cast("long") % 3 == 0
+    return plain.select(
+        "event_id",
+        F.when(hot, F.lit("0")).otherwise(plain.student_id).alias("student_id"),
+        "event_type",
+        "gate_type",
+        F.when(hot & (plain.gate_type == "ROOM_GATE"), F.lit("1A")).otherwise(plain.location).alias("location"),
+        "timestamp",
+    )
+
+
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Student dimension as text columns (like the CSV); ids ending in 3 are unknown."""
     cu = _table(spark, sf_dir, "customer")
