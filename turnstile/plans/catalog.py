@@ -2,8 +2,9 @@
 DuckDB SQL that must give the same rows (``turnstile.plans.oracle``).
 
 Inputs are the fixture views over the whole given tables (FIXTURES.md section 4): the
-plain view for reports and analytics, the dirty view for the quality checks, the dense
-view where stays repeat (latest-day stays, last-stay-wins edges, a second Q1/Q2 run).
+plain view for the graph and analytics, the dirty view for the quality checks and the
+reports, the dense view where stays repeat (latest-day stays, last-stay-wins edges, a second
+Q1/Q2 run), and the hot view where one student holds a third of all events.
 """
 
 from __future__ import annotations
