@@ -71,3 +71,22 @@ def test_daily_views_are_projections(spark, tmp_path):
         map(tuple, R.hourly_gate_traffic_daily(clean).collect()))
     assert sorted(map(tuple, views["hourly_room_usage"].collect())) == sorted(
         map(tuple, R.hourly_room_usage_daily(clean).collect()))
+
+
+def test_shuffle_sizing_from_input(spark):
+    from turnstile.session import INITIAL_PARTITIONS, size_shuffle_partitions
+
+    df = spark.read.parquet(f"{SF}/events.parquet")
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        small = size_shuffle_partitions(spark, df)
+        assert small == int(spark.conf.get("spark.sql.shuffle.partitions"))  # tiny input: the floor
+        spark.conf.unset(INITIAL_PARTITIONS)
+        big = size_shuffle_partitions(spark, df, target_bytes=1024)  # pretend partitions of 1 KB
+        assert big > small and spark.conf.get(INITIAL_PARTITIONS) == str(big)
+        assert size_shuffle_partitions(spark, df) == big  # a value already set is kept
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        if before:
+            spark.conf.set(INITIAL_PARTITIONS, before)

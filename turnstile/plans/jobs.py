@@ -15,6 +15,7 @@ from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
 from turnstile.operators.quality import clean_events_daily, clean_events_full, with_record_date
+from turnstile.session import size_shuffle_partitions
 from turnstile.sinks import preview, write_report, write_table
 from turnstile.sources import read_curated, read_students_csv
 
@@ -45,8 +46,13 @@ def _publish(reports: dict[str, DataFrame], settings: Settings, daily: bool, sho
 def run_full_batch(
     spark: SparkSession, settings: Settings, as_of=None, with_graph: bool = True, show: bool = False
 ) -> None:
-    """Whole history: clean table, four reports (replaced), graph tables (replaced)."""
-    clean = clean_events_full(read_curated(spark, settings.curated), as_of=as_of)
+    """Whole history: clean table, four reports (replaced), graph tables (replaced).
+
+    The first shuffle (the dedupe) is sized from the curated table's size.
+    """
+    curated = read_curated(spark, settings.curated)
+    size_shuffle_partitions(spark, curated)
+    clean = clean_events_full(curated, as_of=as_of)
     write_table(clean, settings.clean, partition_by=CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTER)
     clean = spark.read.parquet(settings.clean)
 
@@ -74,7 +80,9 @@ def run_daily_batch(spark: SparkSession, settings: Settings, show: bool = False)
     The tables keep one schema for both jobs: the hourly reports are written in their
     whole-history form (entries and exits), restricted to the day. Stays are paired within
     the day, as the latest-day report defines them. The latest date stays a scalar subquery
-    (on a date-partitioned curated table it prunes to one directory).
+    (on a date-partitioned curated table it prunes to one directory). Shuffle sizing is left
+    to the session: size statistics do not see that pruning, so they would size for the
+    whole table.
     """
     curated = read_curated(spark, settings.curated)
     write_table(

@@ -65,3 +65,30 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         return spark.sparkContext.getCheckpointDir() or chosen
     return None
 
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffle_partitions(
+    spark: SparkSession,
+    df,
+    target_bytes: int = 256 << 20,
+    expansion: float = 3.0,
+) -> int:
+    """Size the first shuffle of a job from its input.
+
+    The planned input size (file sizes from the listing Spark already made) times
+    ``expansion`` (decoded rows are larger than compressed Parquet) over ``target_bytes``
+    gives the initial partition count, so no shuffle partition outgrows executor memory;
+    AQE coalesces small ones back down. A value the user set is kept. Never below
+    ``spark.sql.shuffle.partitions``.
+    """
+    current = spark.conf.get(INITIAL_PARTITIONS, None)
+    if current:
+        return int(current)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(floor, -(-int(size * expansion) // target_bytes))
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    return n
