@@ -60,7 +60,7 @@ def test_pairing_window_is_bucketed(spark):
     clean = clean_events_full(fx.gate_events(spark, SF), as_of="2024-01-31 00:00:00")
     plan = _plan(R.room_durations(clean, ordered=False))
     # the event-level window shuffles on (student, location, time bucket) ...
-    assert re.search(r"hashpartitioning\(student_id#\d+, location#\d+, _w\d+#\d+L?, \d+\)", plan)
+    assert re.search(r"hashpartitioning\(student_id#\d+, location#\d+, _b#\d+L?, \d+\)", plan)
     # ... and the only (student, location) window sees bucket edges, not all events
     edge = re.search(r"Exchange hashpartitioning\(student_id#\d+, location#\d+, \d+\)", plan)
     assert edge
@@ -74,3 +74,11 @@ def test_no_broadcast_hints(spark):
     for name, build in E.queries().items():
         logical = build(spark, SF)._jdf.queryExecution().logical().toString()
         assert "broadcast" not in logical.lower(), name
+
+
+def test_pairing_branches_share_one_shuffle(spark):
+    clean = clean_events_full(fx.gate_events(spark, SF), as_of="2024-01-31 00:00:00")
+    df = R.room_durations(clean, ordered=False)
+    df.collect()  # the final adaptive plan shows exchange reuse
+    final = _plan(df)
+    assert re.search(r"ReusedExchange \[[^\]]*_b#", final)

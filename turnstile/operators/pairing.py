@@ -60,10 +60,12 @@ def pair_entries(
         bucket = F.col("_range")
     else:
         raise ValueError(f"split must be 'time' or 'range', not {split!r}")
-    w = Window.partitionBy(*keys, bucket).orderBy(*order)
-    win = df.select(
-        *keep,
-        bucket.alias("_b"),
+    # The bucket is a real column (not an expression inside the window spec): both branches
+    # below then need the same exchange, and Spark runs that shuffle once (ReusedExchange).
+    ev = df.select(*keep, bucket.alias("_b"))
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    win = ev.select(
+        "*",
         F.lead(F.lit(True), 1, False).over(w).alias("_has_next"),
         F.lead("timestamp").over(w).alias("_next_ts"),
         F.lead("event_type").over(w).alias("_next_type"),
