@@ -90,7 +90,9 @@ def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
     """A ``foreachBatch`` function that appends new event / student vertices and PERFORMED
     edges of a micro-batch. Keys already stored are skipped (anti-join), so a replayed
     batch, or an event sent twice, adds nothing. The event tables are partitioned by date
-    and the anti-join includes the date, so only the batch's date partitions are read."""
+    and the anti-join includes the date, so only the batch's date partitions are read; the
+    price is that a copy of an event stamped on another day is stored again (the batch job's
+    dedupe on ``event_id`` alone remains the reference for the graph tables)."""
 
     def _append_new(batch: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()):
         spark = batch.sparkSession
