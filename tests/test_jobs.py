@@ -160,3 +160,37 @@ def test_daily_partitions_equal_the_daily_oracle(spark, tmp_path):
         got = sorted((tuple(norm(v) for v in r) for r in df.select(*cols).collect()), key=repr)
         assert got == want, cols
         assert want or not non_empty, cols
+
+
+def test_written_graph_tables_equal_the_oracle(spark, tmp_path):
+    import datetime as dt
+
+    import duckdb
+
+    from turnstile.plans import catalog as C
+    from turnstile.plans.oracle import durations_cte
+
+    settings = _lake(spark, tmp_path)
+    jobs.run_full_batch(spark, settings, as_of="2024-01-28 00:00:00")
+    con = duckdb.connect()
+    for t in ("events", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    base = C.CTE_DIRTY_FULL
+    checks = {
+        "v_student": C.with_views(base, C._V_STUDENT),
+        "v_event": C.with_views(base, "SELECT event_id, event_type, gate_type, location, timestamp FROM clean"),
+        "e_entered": C.with_views(base, "SELECT DISTINCT student_id, location FROM clean WHERE gate_type = 'ROOM_GATE'"),
+        "v_library": C.with_views(base, "SELECT DISTINCT 'Main Library' AS name FROM clean"),
+        "e_studied_in": C.with_views(base + [("durations", durations_cte("clean"))], C._E_STUDIED_IN),
+    }
+
+    def norm(v):
+        return v.replace(tzinfo=None) if isinstance(v, dt.datetime) else v
+
+    for table, sql in checks.items():
+        res = con.execute(sql)
+        cols = [d[0] for d in res.description]
+        want = sorted((tuple(norm(v) for v in r) for r in res.fetchall()), key=repr)
+        got_df = spark.read.parquet(settings.graph(table)).select(*cols)
+        got = sorted((tuple(norm(v) for v in r) for r in got_df.collect()), key=repr)
+        assert got == want and want, table
