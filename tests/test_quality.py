@@ -55,3 +55,13 @@ def test_latest_day_single_and_empty(spark, events):
     one = events([("a", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-04 08:00:00")])
     assert latest_day(one).count() == 1
     assert latest_day(one.limit(0)).count() == 0
+
+
+def test_as_of_with_zone_is_taken_as_an_instant(spark, events):
+    df = events([
+        ("a", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 15:59:59"),
+        ("b", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 16:00:01"),
+    ])
+    # 2026-03-06 00:00 at UTC+8 is 2026-03-05 16:00 UTC
+    assert rows(clean_events_full(df, as_of="2026-03-06T00:00:00+08:00"), "event_id") == [("a",)]
+    assert rows(clean_events_full(df, as_of="2026-03-06 00:00:00"), "event_id") == [("a",), ("b",)]

@@ -13,6 +13,8 @@ from turnstile.schema import LOCAL_OFFSET_HOURS, NIGHT, PERIOD_ORDER, TIME_PERIO
 
 def _as_text(value) -> str:
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:  # an instant with a zone: as UTC wall clock (session zone)
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         return value.strftime("%Y-%m-%d %H:%M:%S.%f")
     if isinstance(value, _dt.date):
         return value.strftime("%Y-%m-%d 00:00:00")
