@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstile.schema import LOCAL_OFFSET_HOURS, NIGHT, PERIOD_ORDER, TIME_PERIODS
+from turnstile.schema import (
+    CLOCK_AM_SUFFIX,
+    CLOCK_MIDNIGHT,
+    CLOCK_NOON,
+    CLOCK_PM_SUFFIX,
+    LOCAL_OFFSET_HOURS,
+    NIGHT,
+    PERIOD_ORDER,
+    TIME_PERIODS,
+)
 
 
 def _as_text(value) -> str:
@@ -82,10 +91,10 @@ def period_rank(period: Column) -> Column:
 def clock_label(hour: Column) -> Column:
     """12-hour clock text: 0 -> '12:00 AM', 1..11 -> 'h:00 AM', 12 -> '12:00 PM', else 'h-12:00 PM'."""
     return (
-        F.when(hour == 0, F.lit("12:00 AM"))
-        .when(hour < 12, F.concat(hour.cast("string"), F.lit(":00 AM")))
-        .when(hour == 12, F.lit("12:00 PM"))
-        .otherwise(F.concat((hour - 12).cast("string"), F.lit(":00 PM")))
+        F.when(hour == 0, F.lit(CLOCK_MIDNIGHT))
+        .when(hour < 12, F.concat(hour.cast("string"), F.lit(CLOCK_AM_SUFFIX)))
+        .when(hour == 12, F.lit(CLOCK_NOON))
+        .otherwise(F.concat((hour - 12).cast("string"), F.lit(CLOCK_PM_SUFFIX)))
     )
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # These must equal the original pipeline's values for the same
 # results (gate and event codes, the main-hall location, the library vertex
-# name, the two topic names, the local-time shift and the period bounds).
+# name, the two topic names, the local-time shift, the period bounds and the
+# 12-hour clock labels).
 # ---------------------------------------------------------------------------
 MAIN_GATE = "MAIN_GATE"
 ROOM_GATE = "ROOM_GATE"
@@ -26,6 +27,10 @@ TIME_PERIODS = (
 )
 NIGHT = "Night"
 PERIOD_ORDER = ("Morning", "Afternoon", "Evening", "Night")
+CLOCK_MIDNIGHT = "12:00 AM"
+CLOCK_NOON = "12:00 PM"
+CLOCK_AM_SUFFIX = ":00 AM"
+CLOCK_PM_SUFFIX = ":00 PM"
 # ---------------------------------------------------------------------------
 
 EVENT_COLUMNS = ("event_id", "student_id", "event_type", "gate_type", "location", "timestamp")
