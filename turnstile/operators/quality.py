@@ -29,17 +29,23 @@ def latest_day(df: DataFrame) -> DataFrame:
     return dated.filter(F.col("record_date") == latest)
 
 
-def dedupe_events(df: DataFrame) -> DataFrame:
+def dedupe_events(df: DataFrame, add_record_date: bool = False) -> DataFrame:
     """One row per ``event_id``: the first copy by time, then by the other columns.
 
     ``row_number() == 1`` is planned as a WindowGroupLimit: each map task already keeps one
     copy per id before the shuffle, so a heavily repeated id does not pile up in one task.
+    ``add_record_date`` adds the date column in the same projection.
     """
     cols = df.columns
+    if add_record_date and "record_date" not in cols:
+        extra = [record_date("timestamp").alias("record_date")]
+        out = [*cols, "record_date"]
+    else:
+        extra, out = [], cols
     order = [F.col(c).asc_nulls_last() for c in _COPY_ORDER if c in cols]
     w = Window.partitionBy("event_id").orderBy(*order)
-    ranked = df.select("*", F.row_number().over(w).alias("_copy"))
-    return ranked.filter(F.col("_copy") == 1).select(*cols)
+    ranked = df.select("*", *extra, F.row_number().over(w).alias("_copy"))
+    return ranked.filter(F.col("_copy") == 1).select(*out)
 
 
 def clean_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFrame:
@@ -51,7 +57,7 @@ def clean_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFram
     cond = F.col("student_id").isNotNull()
     if check_time:
         cond = cond & (F.col("timestamp") <= ts_cutoff(df, "timestamp", as_of))
-    return dedupe_events(with_record_date(df.filter(cond)))
+    return dedupe_events(df.filter(cond), add_record_date=True)
 
 
 def clean_events_full(df: DataFrame, as_of=None) -> DataFrame:
