@@ -83,3 +83,15 @@ def test_dedupe_random_cases(spark, events):
             want[r[0]] = r
     got = {r.event_id: tuple(r)[:6] for r in dedupe_events(events(data)).collect()}
     assert got == want
+
+
+def test_auto_split_picks_range_only_for_an_overfull_slice(spark, events):
+    from turnstile.operators.pairing import choose_split
+
+    flood = [(f"f{i:04d}", "hot", "ENTRY" if i % 2 == 0 else "EXIT", "ROOM_GATE", "1A", BASE) for i in range(300)]
+    spread = [(f"s{i:04d}", "k", "ENTRY", "ROOM_GATE", "1A", BASE + dt.timedelta(hours=i)) for i in range(300)]
+    assert choose_split(events(flood), max_slice_rows=100) == "range"
+    assert choose_split(events(spread), max_slice_rows=100) == "time"
+    df = with_record_date(events(flood + spread))
+    got = pair_entries(df, split="auto", max_slice_rows=100, range_partitions=8)
+    assert got.count() == 150

@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=30, help="trailing days for the period question")
     p.add_argument("--show", action="store_true", help="print the first rows of each output")
     p.add_argument("--write", action="store_true", help="analytics: write the answers as tables")
-    p.add_argument("--pairing", choices=["time", "range"], default="time", help="how stays are paired")
+    p.add_argument("--pairing", choices=["time", "range", "auto"], default="time", help="how stays are paired")
     p.add_argument("--master", default=None)
     return p
 

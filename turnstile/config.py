@@ -17,8 +17,9 @@ class Settings:
     topics: tuple[str, ...] = (TOPIC_MAIN_GATE, TOPIC_ROOM_GATE)
     students_csv: str | None = None
     paths: dict[str, str] = field(default_factory=dict)
-    # How stays are paired: "time" (hour slices, one shuffle) or "range" (sampled, balanced
-    # even if one key floods one instant; one more shuffle). See operators.pairing.
+    # How stays are paired: "time" (hour slices, one shuffle), "range" (sampled, balanced
+    # even if one key floods one instant; one more shuffle) or "auto" (range only when a
+    # slice is found over-full). See operators.pairing.
     pairing_split: str = "time"
 
     def path(self, name: str) -> str:

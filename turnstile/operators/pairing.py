@@ -17,6 +17,8 @@ The result equals one ``lead`` over the whole key. Two ways to cut buckets:
 * ``"range"``: the events are range-partitioned on (key, timestamp, event_id) from a sample,
   and the bucket is the range partition. Balanced whatever the data, even when one key
   floods a single instant, at the price of one more shuffle (and the sampling pass).
+* ``"auto"``: count events per (key, time slice) first (a partial aggregation, reduced to one
+  number) and take ``"range"`` only if a slice holds more than ``max_slice_rows``.
 """
 
 from __future__ import annotations
@@ -27,12 +29,26 @@ from pyspark.sql import functions as F
 from turnstile.schema import ENTRY, EXIT
 
 DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_MAX_SLICE_ROWS = 5_000_000
 
 
 def _bucket(ts: str, seconds: int):
     return F.floor(F.unix_timestamp(ts) / F.lit(seconds)).cast("long")
 
 
+def choose_split(
+    df: DataFrame,
+    keys: tuple[str, ...] = ("student_id", "location"),
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    max_slice_rows: int = DEFAULT_MAX_SLICE_ROWS,
+) -> str:
+    """``"range"`` if one (key, time slice) holds more than ``max_slice_rows`` events, else
+    ``"time"``. The count is a partial aggregation; only its maximum reaches the driver."""
+    counts = df.groupBy(*keys, _bucket("timestamp", bucket_seconds).alias("_b")).count()
+    top = counts.agg(F.max("count")).first()[0]
+    return "range" if top is not None and top > max_slice_rows else "time"
+
+
 def pair_entries(
     df: DataFrame,
     keys: tuple[str, ...] = ("student_id", "location"),
@@ -40,6 +56,7 @@ def pair_entries(
     extra: tuple[str, ...] = ("record_date",),
     split: str = "time",
     range_partitions: int | None = None,
+    max_slice_rows: int = DEFAULT_MAX_SLICE_ROWS,
 ) -> DataFrame:
     """Rows (keys, timestamp, event_id, event_type, extra) -> one row per ENTRY directly
     followed by an EXIT of the same key: keys, extra, ``timestamp``, ``exit_timestamp``.
@@ -48,6 +65,8 @@ def pair_entries(
     """
     keep = [*keys, *[c for c in extra if c not in keys], "timestamp", "event_id", "event_type"]
     order = [F.col("timestamp").asc_nulls_last(), F.col("event_id").asc_nulls_last()]
+    if split == "auto":
+        split = choose_split(df, keys, bucket_seconds, max_slice_rows)
     if split == "time":
         bucket = _bucket("timestamp", bucket_seconds)
     elif split == "range":
@@ -59,7 +78,7 @@ def pair_entries(
         df = ranged.withColumn("_range", F.spark_partition_id())
         bucket = F.col("_range")
     else:
-        raise ValueError(f"split must be 'time' or 'range', not {split!r}")
+        raise ValueError(f"split must be 'time', 'range' or 'auto', not {split!r}")
     # The bucket is a real column (not an expression inside the window spec): both branches
     # below then need the same exchange, and Spark runs that shuffle once (ReusedExchange).
     ev = df.select(*keep, bucket.alias("_b"))
