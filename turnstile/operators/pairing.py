@@ -74,7 +74,10 @@ def pair_entries(
         # index orders the slices of a key like the events themselves. The bounds come from
         # the exchange's sample and are fixed for the run, so the index is stable on retry.
         by = [*keys, *order]
-        ranged = df.repartitionByRange(range_partitions, *by) if range_partitions else df.repartitionByRange(*by)
+        if range_partitions:
+            ranged = df.repartitionByRange(range_partitions, *by)
+        else:
+            ranged = df.repartitionByRange(*by)
         df = ranged.withColumn("_range", F.spark_partition_id())
         bucket = F.col("_range")
     else:
