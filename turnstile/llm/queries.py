@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import token_count, url_reputation
+from . import html_text, quality, token_count, topk, url_reputation
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
     "op4_token_counts": token_count.op4_token_counts,
+    "op7_topk": topk.op7_topk,
+    "op9_html_text": html_text.op9_html_text,
     "op10_url_reputation": url_reputation.op10_url_reputation,
 }
 
 ORACLE_SQL = {
+    "op7_topk": topk.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }
