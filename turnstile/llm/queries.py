@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import html_text, quality, token_count, topk, url_reputation
+from . import html_text, pii, quality, token_count, topk, url_reputation
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op4_token_counts": token_count.op4_token_counts,
+    "op6_pii": pii.op6_pii,
     "op7_topk": topk.op7_topk,
     "op9_html_text": html_text.op9_html_text,
     "op10_url_reputation": url_reputation.op10_url_reputation,
