@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import html_text, pii, quality, token_count, topk, url_reputation
+from . import bpe, decontaminate, html_text, pii, quality, token_count, topk, url_reputation
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
     "op2_quality": quality.op2_quality,
     "op4_token_counts": token_count.op4_token_counts,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_pii": pii.op6_pii,
     "op7_topk": topk.op7_topk,
     "op9_html_text": html_text.op9_html_text,
