@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: White space as the byte-level pre-tokenizer sees it (Unicode White_Space).
@@ -80,3 +84,60 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     _, down = _POWERS.upto(len(prefix))
     with np.errstate(over="ignore"):
         return mix((prefix[stop] - prefix[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
+class WordHashes(dict):
+    """64-bit hash of each word seen (as bytes); starts over when it holds ``most`` words."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def ascii_words(text: str) -> list[bytes]:
+    """Words between ASCII white space (x20, x09 to x0D), as UTF-8."""
+    return text.encode("utf-8").split()
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Array, list[str]]]:
+    """(key, ids, texts) of blocks of (id, text) rows, of about ``most`` characters. The key is made of the content
+    and of the block's place, so that a second reading in another order gives other keys."""
+    part, made = TaskContext.get().partitionId(), 0
+    ids: list[pa.Array] = []
+    texts: list[str] = []
+    size, digest = 0, xxhash.xxh64()
+
+    def flush() -> tuple[int, pa.Array, list[str]]:
+        nonlocal made, digest
+        made += 1
+        digest.update(f"{part}:{made}")
+        out = digest.intdigest() - (1 << 63), pa.concat_arrays(ids), texts[:]
+        digest = xxhash.xxh64()
+        ids.clear(), texts.clear()
+        return out
+
+    for batch in batches:
+        start = 0
+        for i, value in enumerate(batch.column(1)):
+            text = value.as_py() or ""
+            texts.append(text)
+            digest.update(text.encode("utf-8"))
+            size += len(text) + 1
+            if size >= most:
+                ids.append(batch.column(0).slice(start, i + 1 - start))
+                yield flush()
+                size, start = 0, i + 1
+        if start < batch.num_rows:
+            ids.append(batch.column(0).slice(start))
+    if texts:
+        yield flush()

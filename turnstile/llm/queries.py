@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, pii, quality, token_count, topk, url_reputation
+from . import bpe, decontaminate, html_text, pii, quality, substring_dedup, token_count, topk, url_reputation
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_pii": pii.op6_pii,
     "op7_topk": topk.op7_topk,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_html_text": html_text.op9_html_text,
     "op10_url_reputation": url_reputation.op10_url_reputation,
 }
