@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, pii, quality, substring_dedup, token_count, topk, url_reputation
+from . import bpe, decontaminate, html_text, jaccard_join, pii, quality, substring_dedup, token_count, topk, url_reputation
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_quality": quality.op2_quality,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_token_counts": token_count.op4_token_counts,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_pii": pii.op6_pii,
