@@ -26,18 +26,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _shared(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; one of its own only where the session names none on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or f"/tmp/turnstile-{uuid.uuid4().hex}"
+
+
 def scratch(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of ``spark.checkpoint.dir``, so that a lost executor costs
-    a read. Only where the session names no folder (tests, one machine) a folder of its own is set."""
+    """Write ``df`` to the shared folder and go on from there: a lost executor then costs a read."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or f"/tmp/turnstile-checkpoints-{uuid.uuid4().hex}")
+        sc.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name in the shared folder."""
+    return f"{spark.sparkContext.getCheckpointDir() or _shared(spark)}/{uuid.uuid4().hex}"
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64 over uint64."""
     with np.errstate(over="ignore"):

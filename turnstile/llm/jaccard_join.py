@@ -356,5 +356,21 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """``docs`` with, of each component, only the document of the least id. Of rows with equal ids one stays; rows with a
+    null id stay. What travels is the list of ids to drop, not the documents."""
+    found = jaccard_components(docs, id_col=id_col, text_col=text_col, size=size)
+    ids = scratch(found.select(F.col(id_col).alias("__id"), F.col("component_id").alias("of")).filter("__id is not null"))
+    dropped = scratch(ids.groupBy("__id").agg(F.min("of").alias("of"), F.count("*").alias("n")).filter("of <> __id or n > 1"))
+    gone = F.broadcast(dropped) if dropped.limit(SMALL + 1).count() <= SMALL else dropped
+    marked = docs.join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")
+    once = marked.filter("__id is null").drop(*dropped.columns)
+    again = dropped.filter("of = __id").select("__id")
+    if again.isEmpty():
+        return once
+    repeated = docs.join(again, F.col(id_col).cast("long") == F.col("__id")).drop("__id")
+    return once.unionAll(repeated.dropDuplicates([id_col]).select(*docs.columns))
+
+
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import bpe, decontaminate, html_text, jaccard_join, pii, quality, substring_dedup, token_count, topk, url_reputation
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_bpe": bpe.op1_bpe,
     "op2_quality": quality.op2_quality,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
@@ -17,7 +20,7 @@ QUERIES = {
     "op10_url_reputation": url_reputation.op10_url_reputation,
 }
 
-ORACLE_SQL = {
+ORACLE_SQL = {name: sql for name, sql in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if sql} | {
     "op7_topk": topk.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }
