@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from turnstile.schema import GATE_EVENT  # noqa: E402
-from turnstile.session import build_session, checkpoint_dir  # noqa: E402
+from turnstile.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,7 +20,8 @@ def spark(tmp_path_factory):
     )
     s.sparkContext.setLogLevel("ERROR")
     # Tests own no cluster: give a checkpoint folder only where the session has none.
-    checkpoint_dir(s, str(tmp_path_factory.mktemp("checkpoints")))
+    if s.conf.get("spark.checkpoint.dir", None) is None:
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
 

@@ -57,41 +57,6 @@ def test_full_then_daily_twice_is_idempotent(spark, tmp_path):
     assert out["visit_summary"].first().total_entries > 0
 
 
-def test_daily_views_are_projections(spark, tmp_path):
-    from turnstile.operators import reports as R
-    from turnstile.operators.quality import clean_events_daily
-
-    clean = clean_events_daily(fx.gate_events_dirty(spark, SF))
-    tables = {
-        "hourly_traffic": R.hourly_gate_traffic_full(clean),
-        "hourly_room_usage": R.hourly_room_usage_full(clean),
-    }
-    views = jobs.daily_views(tables)
-    assert sorted(map(tuple, views["hourly_traffic"].collect())) == sorted(
-        map(tuple, R.hourly_gate_traffic_daily(clean).collect()))
-    assert sorted(map(tuple, views["hourly_room_usage"].collect())) == sorted(
-        map(tuple, R.hourly_room_usage_daily(clean).collect()))
-
-
-def test_shuffle_sizing_from_input(spark):
-    from turnstile.session import INITIAL_PARTITIONS, size_shuffle_partitions
-
-    df = spark.read.parquet(f"{SF}/events.parquet")
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    try:
-        spark.conf.unset(INITIAL_PARTITIONS)
-        small = size_shuffle_partitions(spark, df)
-        assert small == int(spark.conf.get("spark.sql.shuffle.partitions"))  # tiny input: the floor
-        spark.conf.unset(INITIAL_PARTITIONS)
-        big = size_shuffle_partitions(spark, df, target_bytes=1024)  # pretend partitions of 1 KB
-        assert big > small and spark.conf.get(INITIAL_PARTITIONS) == str(big)
-        assert size_shuffle_partitions(spark, df) == big  # a value already set is kept
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
-        if before:
-            spark.conf.set(INITIAL_PARTITIONS, before)
-
-
 def test_written_reports_equal_the_oracle(spark, tmp_path):
     """The production path (curated table -> clean table -> reports written by date) gives
     the same rows as the registered queries' SQL on the same input."""
@@ -141,7 +106,7 @@ def test_daily_partitions_equal_the_daily_oracle(spark, tmp_path):
     day = dt.date(2024, 1, 30)
     tables = {n: spark.read.parquet(settings.report(n)).filter(F.col("record_date") == day)
               for n in ("hourly_traffic", "daily_rooms", "hourly_room_usage", "room_durations")}
-    views = jobs.daily_views(tables)
+    views = {n: spark.read.parquet(settings.report(f"daily/{n}")) for n in ("hourly_traffic", "hourly_room_usage")}
     # (frame, sql, must have rows): this view has no latest-day stays at sf0.001
     checks = (
         (views["hourly_traffic"], C.with_views(C.CTE_DIRTY_DAILY, C._HOURLY_GATE_DAILY), True),
@@ -194,3 +159,51 @@ def test_written_graph_tables_equal_the_oracle(spark, tmp_path):
         got_df = spark.read.parquet(settings.graph(table)).select(*cols)
         got = sorted((tuple(norm(v) for v in r) for r in got_df.collect()), key=repr)
         assert got == want and want, table
+
+
+QUESTIONS = ("top5_rooms_by_major_year", "daily_visits_by_period", "visit_summary", "peak_hours", "popular_rooms")
+
+
+def _event_rows(rows):
+    """(event_id, student, type, gate, location, time) as the curated columns."""
+    return [dict(zip(("event_id", "student_id", "event_type", "gate_type", "location", "timestamp"), r)) for r in rows]
+
+
+def test_daily_leaves_the_questions_alone(spark, events, tmp_path):
+    """An id on both sides of midnight and a row dated 2099 change no answer."""
+    from turnstile.operators.quality import with_record_date
+
+    data = [(f"m{i}", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 08:00:00") for i in range(3)]
+    data += [("twice", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 23:59:00"), ("twice", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-06 00:01:00")]
+    data += [("late", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2099-01-01 00:00:00")]
+    settings = Settings(root=str(tmp_path / "lake"))
+    write_table(with_record_date(events(data)), settings.curated, partition_by=("record_date", "gate_type"))
+    csv = str(tmp_path / "csv")
+    spark.createDataFrame([("1", "cs", "2", "UG")], "student_id string, major string, year_of_study string, study_level string").write.option("header", True).csv(csv)
+    jobs.land_students(spark, settings, csv)
+    as_of = "2026-03-10 00:00:00"
+    jobs.run_full_batch(spark, settings, as_of=as_of)
+    answers = lambda: {n: _rows(df) for n, df in jobs.analytics(spark, settings, as_of=as_of).items()}
+    _rows = lambda df: sorted(map(str, df.collect()))
+    before = answers()
+    assert set(before) == set(QUESTIONS) and "total_entries=4" in before["visit_summary"][0]
+    jobs.run_daily_batch(spark, settings)
+    assert answers() == before
+    assert [r.event_id for r in spark.read.parquet(settings.clean_daily).collect()] == ["late"]
+
+
+def test_no_events_no_stays_and_main_gate_only(spark, events, tmp_path):
+    from turnstile.operators.quality import with_record_date
+
+    main = [("m1", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 08:00:00")]
+    no_stay = [*main, ("r1", "1", "ENTRY", "ROOM_GATE", "A", "2026-03-05 09:00:00")]
+    for name, data in (("none", []), ("main", main), ("no_stay", no_stay)):
+        settings = Settings(root=str(tmp_path / name))
+        write_table(with_record_date(events(data)), settings.curated, partition_by=("record_date", "gate_type"))
+        write_table(spark.createDataFrame([], "student_id string, major string, year_of_study int, study_level string"), settings.students)
+        for _ in range(2):
+            jobs.run_full_batch(spark, settings, as_of="2026-03-10 00:00:00")
+            jobs.run_daily_batch(spark, settings)
+            jobs.run_analytics(spark, settings, as_of="2026-03-10 00:00:00")
+        assert spark.read.parquet(settings.path("analytics/visit_summary")).first().total_entries == len(data[:1])
+        assert spark.read.schema("name string").parquet(settings.graph("v_library")).count() == len(data[:1])

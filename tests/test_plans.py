@@ -56,29 +56,37 @@ def test_payload_parsed_once(spark):
     assert _plan(parse_events(df)).count("from_json(") == 1
 
 
-def test_pairing_window_is_bucketed(spark):
+def test_pairing_has_one_event_level_window(spark):
     clean = clean_events_full(fx.gate_events(spark, SF), as_of="2024-01-31 00:00:00")
     plan = _plan(R.room_durations(clean, ordered=False))
-    # the event-level window shuffles on (student, location, time bucket) ...
-    assert re.search(r"hashpartitioning\(student_id#\d+, location#\d+, _b#\d+L?, \d+\)", plan)
-    # ... and the only (student, location) window sees bucket edges, not all events
-    edge = re.search(r"Exchange hashpartitioning\(student_id#\d+, location#\d+, \d+\)", plan)
-    assert edge
-    below = plan[edge.end():]
-    assert "Filter ((_pos#" in below.split("Exchange")[0]
+    pairing = plan[: plan.index("rangepartitioning(student_id")]
+    # Above the range exchange: one window over the bucket, one over what it kept (stays and bucket edges).
+    assert re.findall(r"windowspecdefinition\((_b|_group)#", pairing).count("_b") >= 1
+    windows = [line for line in pairing.split("\n") if re.search(r"\bWindow\b ", line) or "+- Window " in line]
+    assert len(windows) == 2, plan
+    assert plan.count("rangepartitioning(student_id") == 1  # evaluated once
+    assert "Union" not in pairing
+
+
+def test_summary_counts_distincts_of_a_small_table(spark):
+    from turnstile.operators.analytics import visit_summary
+
+    plan = _plan(visit_summary(with_record_date(fx.gate_events(spark, SF))))
+    scan = plan.index("FileScan")
+    assert "Expand" not in plan[plan.rindex("hashpartitioning(student_id") : scan]  # none over the events
+
+
+def test_library_reads_one_row_and_shuffles_nothing(spark):
+    from turnstile.operators.graph import v_library
+    from turnstile.operators.quality import valid_events
+
+    plan = _plan(v_library(valid_events(fx.gate_events(spark, SF), as_of="2024-01-31 00:00:00")))
+    assert "hashpartitioning" not in plan and "LocalLimit 1" in plan or "CollectLimit 1" in plan
 
 
 def test_no_broadcast_hints(spark):
-    import __spark_entry__ as E
+    from turnstile.plans import catalog
 
-    for name, build in E.queries().items():
+    for name, build in catalog.queries().items():
         logical = build(spark, SF)._jdf.queryExecution().logical().toString()
         assert "broadcast" not in logical.lower(), name
-
-
-def test_pairing_branches_share_one_shuffle(spark):
-    clean = clean_events_full(fx.gate_events(spark, SF), as_of="2024-01-31 00:00:00")
-    df = R.room_durations(clean, ordered=False)
-    df.collect()  # the final adaptive plan shows exchange reuse
-    final = _plan(df)
-    assert re.search(r"ReusedExchange \[[^\]]*_b#", final)

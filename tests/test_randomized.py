@@ -37,7 +37,7 @@ def test_pairing_random_cases(spark, events):
             when = None if rnd.random() < 0.08 else BASE + dt.timedelta(minutes=rnd.choice([0, 0, 30, 59, 60, 61, 120, 600]))
             data.append((f"e{n:05d}", student, rnd.choice(["ENTRY", "EXIT"]), "ROOM_GATE", rnd.choice(["1A", "1B"]), when))
     df = with_record_date(events(data))
-    for kwargs in ({"bucket_seconds": 60}, {"bucket_seconds": 3600}, {"split": "range", "range_partitions": 16}):
+    for kwargs in ({}, {"range_partitions": 1}, {"range_partitions": 16}, {"range_partitions": 200}):
         got = sorted(((r.event_id, r.exit_timestamp) for r in pair_entries(df, **kwargs).collect()), key=repr)
         assert got == _brute_pairs(data)
 
@@ -47,7 +47,7 @@ def test_range_split_spreads_a_flooded_instant(spark, events):
     it into many buckets (event_id breaks the tie), and pairs stay exact."""
     data = [(f"f{i:05d}", "hot", "ENTRY" if i % 2 == 0 else "EXIT", "ROOM_GATE", "1A", BASE) for i in range(2000)]
     df = with_record_date(events(data)).repartition(8)
-    got = pair_entries(df, split="range", range_partitions=16)
+    got = pair_entries(df, range_partitions=16)
     assert got.count() == 1000
     assert sorted(r.event_id for r in got.collect()) == [f"f{i:05d}" for i in range(0, 2000, 2)]
     from pyspark.sql import functions as F
@@ -83,15 +83,3 @@ def test_dedupe_random_cases(spark, events):
             want[r[0]] = r
     got = {r.event_id: tuple(r)[:6] for r in dedupe_events(events(data)).collect()}
     assert got == want
-
-
-def test_auto_split_picks_range_only_for_an_overfull_slice(spark, events):
-    from turnstile.operators.pairing import choose_split
-
-    flood = [(f"f{i:04d}", "hot", "ENTRY" if i % 2 == 0 else "EXIT", "ROOM_GATE", "1A", BASE) for i in range(300)]
-    spread = [(f"s{i:04d}", "k", "ENTRY", "ROOM_GATE", "1A", BASE + dt.timedelta(hours=i)) for i in range(300)]
-    assert choose_split(events(flood), max_slice_rows=100) == "range"
-    assert choose_split(events(spread), max_slice_rows=100) == "time"
-    df = with_record_date(events(flood + spread))
-    got = pair_entries(df, split="auto", max_slice_rows=100, range_partitions=8)
-    assert got.count() == 150

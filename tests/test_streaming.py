@@ -76,3 +76,39 @@ def test_graph_upsert_replay_adds_nothing(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(settings.graph("v_event")).collect()) == ["e1", "e2", "e3"]
     assert spark.read.parquet(settings.graph("e_performed")).count() == 3
     assert spark.read.parquet(settings.graph("v_student_seen")).count() == 3
+
+
+def test_upsert_of_a_bad_timestamp_is_idempotent(spark, tmp_path):
+    settings = Settings(root=str(tmp_path / "lake"))
+    upsert = graph_upsert(settings)
+    batch = spark.createDataFrame([(_event(1, when="soon"),), (_event(2),)], "value string")
+    for _ in range(3):
+        upsert(batch, 0)
+    assert sorted(r.event_id for r in spark.read.parquet(settings.graph("v_event")).collect()) == ["e1", "e2"]
+    assert spark.read.parquet(settings.graph("e_performed")).count() == 2
+
+
+def test_full_and_upsert_share_their_tables(spark, tmp_path):
+    """full -> upsert -> full -> upsert on one root, the upsert as a stream job."""
+    from turnstile.plans import jobs
+    from turnstile.sinks import write_table
+    from turnstile.streaming import upsert_query
+
+    inbox = str(tmp_path / "inbox")
+    settings = Settings(root=str(tmp_path / "lake"))
+    write_table(spark.createDataFrame([], "student_id string, major string, year_of_study int, study_level string"), settings.students)
+    ids = lambda: sorted(r.event_id for r in spark.read.parquet(settings.graph("v_event")).collect())
+    seen = []
+    for i in (1, 2):
+        _drop(inbox, f"{i}.json", [_event(i), _event(i + 10, "ROOM_GATE", "A")])
+        _run(spark, inbox, settings)
+        jobs.run_full_batch(spark, settings, as_of="2026-03-10 00:00:00")
+        seen += [f"e{i}", f"e{i + 10}"]
+        assert ids() == sorted(seen)
+        _drop(inbox, f"{i}x.json", [_event(i), _event(i + 20)])  # one known, one new
+        query = upsert_query(spark.readStream.format("text").load(inbox), settings, trigger=TRIGGER)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        assert ids() == sorted([*seen, f"e{i + 20}"])
+        seen.append(f"e{i + 20}")
+    assert spark.read.parquet(settings.graph("e_performed")).count() == len(seen)

@@ -1,11 +1,11 @@
 """Command line: one subcommand per job of the original pipeline.
 
     python -m turnstile land-students --root LAKE --csv students.csv
-    python -m turnstile produce       --root LAKE --events events.json [--kafka host:port]
-    python -m turnstile stream        --root LAKE [--kafka host:port]
+    python -m turnstile produce       --root LAKE --events events.json [--lines] [--kafka host:port]
+    python -m turnstile stream        --root LAKE [--kafka host:port] [--max-offsets N] [--upsert]
     python -m turnstile full          --root LAKE [--as-of "2026-03-10 00:00:00"] [--show]
     python -m turnstile daily         --root LAKE [--show]
-    python -m turnstile analytics     --root LAKE [--as-of ...] [--days 30] [--write]
+    python -m turnstile analytics     --root LAKE [--as-of ...] [--days 30] [--show]
 
 On a cluster run it through spark-submit; the session takes the cluster's settings.
 """
@@ -28,8 +28,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--as-of", default=None, help="cut-off time (default: now)")
     p.add_argument("--days", type=int, default=30, help="trailing days for the period question")
     p.add_argument("--show", action="store_true", help="print the first rows of each output")
-    p.add_argument("--write", action="store_true", help="analytics: write the answers as tables")
-    p.add_argument("--pairing", choices=["time", "range", "auto"], default="time", help="how stays are paired")
+    p.add_argument("--lines", action="store_true", help="produce: the event file is JSON Lines")
+    p.add_argument("--max-offsets", type=int, default=1_000_000, help="stream: offsets a micro-batch takes at most")
+    p.add_argument("--upsert", action="store_true", help="stream: also keep the graph's event tables up to date")
     p.add_argument("--master", default=None)
     return p
 
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(app_name=f"turnstile-{args.command}", master=args.master)
     settings = Settings(
-        root=args.root, kafka_servers=args.kafka, students_csv=args.csv, pairing_split=args.pairing
+        root=args.root, kafka_servers=args.kafka, students_csv=args.csv, max_offsets_per_trigger=args.max_offsets
     )
     from turnstile.plans import jobs
 
@@ -49,22 +50,17 @@ def main(argv: list[str] | None = None) -> None:
         from turnstile.sinks import write_kafka
         from turnstile.sources import read_events_json
 
-        write_kafka(route_events(read_events_json(spark, args.events)), settings.kafka_servers)
+        write_kafka(route_events(read_events_json(spark, args.events, lines=args.lines)), settings.kafka_servers)
     elif args.command == "stream":
         from turnstile.streaming import run_stream
 
-        run_stream(spark, settings)
+        run_stream(spark, settings, upsert=args.upsert)
     elif args.command == "full":
         jobs.run_full_batch(spark, settings, as_of=args.as_of, show=args.show)
     elif args.command == "daily":
         jobs.run_daily_batch(spark, settings, show=args.show)
     elif args.command == "analytics":
-        if args.write:
-            jobs.run_analytics(spark, settings, args.as_of, args.days)
-        else:
-            for name, df in jobs.analytics(spark, settings, args.as_of, args.days).items():
-                print(f"--- {name} ---")
-                df.show(50, truncate=False)
+        jobs.run_analytics(spark, settings, args.as_of, args.days, show=args.show)
 
 
 if __name__ == "__main__":

@@ -17,10 +17,8 @@ class Settings:
     topics: tuple[str, ...] = (TOPIC_MAIN_GATE, TOPIC_ROOM_GATE)
     students_csv: str | None = None
     paths: dict[str, str] = field(default_factory=dict)
-    # How stays are paired: "time" (hour slices, one shuffle), "range" (sampled, balanced
-    # even if one key floods one instant; one more shuffle) or "auto" (range only when a
-    # slice is found over-full). See operators.pairing.
-    pairing_split: str = "time"
+    # Most Kafka offsets a micro-batch takes (None: the whole backlog at once).
+    max_offsets_per_trigger: int | None = 1_000_000
 
     def path(self, name: str) -> str:
         return self.paths.get(name) or os.path.join(self.root, name)
@@ -38,6 +36,10 @@ class Settings:
     def clean(self) -> str:
         return self.path("clean")
 
+    @property
+    def clean_daily(self) -> str:
+        return self.path("clean_daily")
+
     @property
     def students(self) -> str:
         return self.path("students")

@@ -30,23 +30,36 @@ def _main_entries(clean: DataFrame) -> DataFrame:
 
 # -- Q1 -------------------------------------------------------------------------------------
 
-def room_popularity_by_group(entered: DataFrame, students: DataFrame) -> DataFrame:
-    """(major, year, room, visits): distinct students per room and (major, year)."""
+def room_popularity_by_group(entered: DataFrame, students: DataFrame, count_mode: str = "students") -> DataFrame:
+    """(major, year, room, visits) from ``entered``.
+
+    ``count_mode="students"``: ``entered`` is the distinct (student, room) edge table and visits
+    are its rows, students who have been there. ``"visits"``: ``entered`` is the clean event table
+    and visits are entries at room gates; they are summed per student before the join.
+    """
+    if count_mode == "visits":
+        entered = entered.filter((F.col("gate_type") == ROOM_GATE) & (F.col("event_type") == ENTRY))
+        entered = entered.groupBy("student_id", "location").agg(F.count(F.lit(1)).alias("n"))
+    elif count_mode == "students":
+        entered = entered.withColumn("n", F.lit(1).cast("long"))
+    else:
+        raise ValueError(f"count_mode must be 'students' or 'visits', not {count_mode!r}")
     return (
         entered.filter(F.col("location") != MAIN_HALL)
         .join(_known(students), "student_id")
         .groupBy("major", "year", F.col("location").alias("room"))
-        .agg(F.count(F.lit(1)).alias("visits"))
+        .agg(F.sum("n").alias("visits"))
     )
 
 
-def top_rooms_by_major_year(entered: DataFrame, students: DataFrame, top: int = TOP_ROOMS) -> DataFrame:
+def top_rooms_by_major_year(
+    entered: DataFrame, students: DataFrame, top: int = TOP_ROOMS, count_mode: str = "students"
+) -> DataFrame:
     """Top rooms per (major, year) in wide form: top_room_i / visits_i for i = 1..top,
-    null past the number of rooms. Ties go to the smaller room name.
-
-    ``entered`` is the distinct (student, room) edge table, so visits count students.
+    null past the number of rooms. Ties go to the smaller room name. For ``entered`` and
+    ``count_mode`` see ``room_popularity_by_group``.
     """
-    ranked = room_popularity_by_group(entered, students).withColumn(
+    ranked = room_popularity_by_group(entered, students, count_mode).withColumn(
         "_rk",
         F.row_number().over(
             Window.partitionBy("major", "year").orderBy(F.col("visits").desc(), F.col("room").asc_nulls_last())
@@ -148,10 +161,13 @@ def daily_visits_by_period(
 def visit_summary(clean: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     """Main-gate entries, distinct students and distinct local days, and their ratios
     (null instead of an error when a count is zero)."""
-    counts = _main_entries(clean).agg(
-        F.count(F.lit(1)).alias("total_entries"),
+    # Counted per student and day first: the distinct counts then see that small table only.
+    day = F.to_date(local_time("timestamp", offset_hours)).alias("day")
+    daily = _main_entries(clean).groupBy("student_id", day).agg(F.count(F.lit(1)).alias("n"))
+    counts = daily.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_entries"),
         F.countDistinct("student_id").alias("unique_students"),
-        F.countDistinct(F.to_date(local_time("timestamp", offset_hours))).alias("unique_days"),
+        F.countDistinct("day").alias("unique_days"),
     )
     total = F.col("total_entries").cast("double")
     per_student = F.try_divide(total, F.col("unique_students").cast("double"))

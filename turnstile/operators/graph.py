@@ -7,23 +7,30 @@ of a distributed input, written like any other table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.schema import LIBRARY_NAME, MAIN_GATE, ROOM_GATE
 
 
+def whole_number(column: str) -> Column:
+    """Text to INT: whole numbers and decimals (cut towards zero), else null."""
+    text = F.trim(column)
+    number = F.when(text.rlike(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"), text)
+    return F.coalesce(number.try_cast("int"), number.try_cast("double").try_cast("int"))
+
+
 def students_dim(raw: DataFrame) -> DataFrame:
     """Typed student dimension, one row per ``student_id``.
 
-    ``year_of_study`` is text in the file: a value that is not a whole number becomes null.
-    Should an id appear twice, the row kept is the largest (major, year, level) — stable, and
+    ``year_of_study`` is text in the file: a decimal is cut to its whole part ("3.0" is 3),
+    as the original's integer conversion does, and what is not a number becomes null. Should an id appear twice, the row kept is the largest (major, year, level) — stable, and
     an aggregation with a partial step, so a repeated id never gathers in one task.
     """
     typed = raw.filter(F.col("student_id").isNotNull()).select(
         "student_id",
         "major",
-        F.expr("try_cast(trim(year_of_study) AS INT)").alias("year_of_study"),
+        whole_number("year_of_study").alias("year_of_study"),
         "study_level",
     )
     best = F.max(F.struct("major", "year_of_study", "study_level")).alias("_best")
@@ -48,9 +55,10 @@ def v_event(clean: DataFrame) -> DataFrame:
     return clean.select("event_id", "event_type", "gate_type", "location", "timestamp")
 
 
-def v_library(clean: DataFrame) -> DataFrame:
-    """The single library vertex; present once any event exists."""
-    return clean.select(F.lit(LIBRARY_NAME).alias("name")).distinct()
+def v_library(events: DataFrame) -> DataFrame:
+    """The single library vertex; present once any valid event exists. Any such event will do, so
+    give it the valid events before the dedupe: one row is read, nothing is shuffled."""
+    return events.limit(1).select(F.lit(LIBRARY_NAME).alias("name"))
 
 
 def v_room(clean: DataFrame) -> DataFrame:
@@ -95,14 +103,19 @@ def e_studied_in(durations: DataFrame) -> DataFrame:
     )
 
 
+def _dated(table: DataFrame, clean: DataFrame) -> DataFrame:
+    """An event projection of ``clean`` with the date it is stored under."""
+    return clean.select(*table.columns, "record_date")
+
+
 def graph_tables(students: DataFrame, clean: DataFrame, durations: DataFrame) -> dict[str, DataFrame]:
-    """All vertex and edge tables, by name."""
+    """All vertex and edge tables, by name; the event tables also have the ``record_date``."""
     return {
         "v_student": v_student(students, clean),
-        "v_event": v_event(clean),
+        "v_event": _dated(v_event(clean), clean),
         "v_library": v_library(clean),
         "v_room": v_room(clean),
-        "e_performed": e_performed(clean),
+        "e_performed": _dated(e_performed(clean), clean),
         "e_at_library": e_at_library(clean),
         "e_in_room": e_in_room(clean),
         "e_entered": e_entered(clean),

@@ -1,118 +1,65 @@
 """ENTRY -> EXIT pairing: for every event, the next event of the same (student, location).
 
-A single window over (student_id, location) would put every event of one key in one task;
-a stuck badge or a replayed feed can make one key a large share of all rows. The key is
-therefore split into ordered buckets:
-
-1. window over (key, bucket) ordered by (timestamp, event_id): the next event inside the
-   bucket, plus the first event and the trailing event of each bucket;
-2. for the last event of a bucket, the next event is the first event of the next non-empty
-   bucket of that key: a window over the bucket edges only (at most two rows per key and
-   bucket, whatever the key's event count).
-
-The result equals one ``lead`` over the whole key. Two ways to cut buckets:
-
-* ``"time"`` (default): fixed time slices of ``bucket_seconds``. One shuffle; a task holds
-  the events of one key within one slice.
-* ``"range"``: the events are range-partitioned on (key, timestamp, event_id) from a sample,
-  and the bucket is the range partition. Balanced whatever the data, even when one key
-  floods a single instant, at the price of one more shuffle (and the sampling pass).
-* ``"auto"``: count events per (key, time slice) first (a partial aggregation, reduced to one
-  number) and take ``"range"`` only if a slice holds more than ``max_slice_rows``.
+A window over (student, location) would put every event of a key in one task; a stuck badge
+or a replayed feed can make one key, or one key in one instant, a large share of all rows.
+So the order is cut, not the keys: events are range-partitioned on (key, timestamp, event_id)
+from a sample, which balances the tasks whatever the data, and the range is the bucket.
+
+1. One window over each bucket, in that order, gives every event the next event. It is the
+   only event-level window, evaluated once, and so is the bucket number.
+2. Only the last event of a bucket lacks its next one: that is the first event of the next
+   non-empty bucket. A second window over the bucket edges (two rows a bucket, whatever the
+   number of events and keys) supplies it; the stays found inside buckets pass it by.
+
+The result equals one ``lead`` over the whole key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.schema import ENTRY, EXIT
 
-DEFAULT_BUCKET_SECONDS = 3600
-DEFAULT_MAX_SLICE_ROWS = 5_000_000
-
-
-def _bucket(ts: str, seconds: int):
-    return F.floor(F.unix_timestamp(ts) / F.lit(seconds)).cast("long")
-
-
-def choose_split(
-    df: DataFrame,
-    keys: tuple[str, ...] = ("student_id", "location"),
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    max_slice_rows: int = DEFAULT_MAX_SLICE_ROWS,
-) -> str:
-    """``"range"`` if one (key, time slice) holds more than ``max_slice_rows`` events, else
-    ``"time"``. The count is a partial aggregation; only its maximum reaches the driver."""
-    counts = df.groupBy(*keys, _bucket("timestamp", bucket_seconds).alias("_b")).count()
-    top = counts.agg(F.max("count")).first()[0]
-    return "range" if top is not None and top > max_slice_rows else "time"
-
 
 def pair_entries(
     df: DataFrame,
     keys: tuple[str, ...] = ("student_id", "location"),
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     extra: tuple[str, ...] = ("record_date",),
-    split: str = "time",
     range_partitions: int | None = None,
-    max_slice_rows: int = DEFAULT_MAX_SLICE_ROWS,
 ) -> DataFrame:
     """Rows (keys, timestamp, event_id, event_type, extra) -> one row per ENTRY directly
     followed by an EXIT of the same key: keys, extra, ``timestamp``, ``exit_timestamp``.
 
-    Order within a key is (timestamp, event_id), nulls last.
+    Order within a key is (timestamp, event_id), nulls last. ``range_partitions`` fixes the
+    number of buckets; by default the session's shuffle partitions (AQE may join small ones).
     """
     keep = [*keys, *[c for c in extra if c not in keys], "timestamp", "event_id", "event_type"]
-    order = [F.col("timestamp").asc_nulls_last(), F.col("event_id").asc_nulls_last()]
-    if split == "auto":
-        split = choose_split(df, keys, bucket_seconds, max_slice_rows)
-    if split == "time":
-        bucket = _bucket("timestamp", bucket_seconds)
-    elif split == "range":
-        # Range partitions follow the full (key, timestamp, event_id) order, so a partition
-        # index orders the slices of a key like the events themselves. The bounds come from
-        # the exchange's sample and are fixed for the run, so the index is stable on retry.
-        by = [*keys, *order]
-        if range_partitions:
-            ranged = df.repartitionByRange(range_partitions, *by)
-        else:
-            ranged = df.repartitionByRange(*by)
-        df = ranged.withColumn("_range", F.spark_partition_id())
-        bucket = F.col("_range")
-    else:
-        raise ValueError(f"split must be 'time', 'range' or 'auto', not {split!r}")
-    # The bucket is a real column (not an expression inside the window spec): both branches
-    # below then need the same exchange, and Spark runs that shuffle once (ReusedExchange).
-    ev = df.select(*keep, bucket.alias("_b"))
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
-    win = ev.select(
+    order = [F.col(c).asc_nulls_last() for c in (*keys, "timestamp", "event_id")]
+    events = df.select(*keep)
+    ranged = events.repartitionByRange(*([range_partitions] if range_partitions else []), *order)
+    bucketed = ranged.withColumn("_b", F.spark_partition_id())
+
+    follower = F.struct(*keys, "timestamp", "event_type")
+    in_bucket = Window.partitionBy("_b").orderBy(*order)
+    events = bucketed.select(
         "*",
-        F.lead(F.lit(True), 1, False).over(w).alias("_has_next"),
-        F.lead("timestamp").over(w).alias("_next_ts"),
-        F.lead("event_type").over(w).alias("_next_type"),
-        F.row_number().over(w).alias("_pos"),
-    )
-    entry = F.col("event_type") == ENTRY
-
-    inside = win.filter(F.col("_has_next") & entry & (F.col("_next_type") == EXIT)).select(
-        *keep, F.col("_next_ts").alias("exit_timestamp")
-    )
-
-    # Bucket edges: the first event of every bucket and its trailing event (at most two
-    # rows per key and bucket). Ordered like the events, the edge after a bucket's trailing
-    # event is the first event of the next non-empty bucket of the same key.
-    edges = win.filter((F.col("_pos") == 1) | ~F.col("_has_next"))
-    wk = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_last(), *order)
-    across = (
-        edges.select(
-            *keep,
-            "_has_next",
-            F.lead("timestamp").over(wk).alias("exit_timestamp"),
-            F.lead("event_type").over(wk).alias("_nb_type"),
-        )
-        .filter(~F.col("_has_next") & entry & (F.col("_nb_type") == EXIT))
-        .select(*keep, "exit_timestamp")
+        F.lead(follower).over(in_bucket).alias("_next"),
+        F.row_number().over(in_bucket).alias("_pos"),
     )
-    out = [c for c in keep if c != "event_type"] + ["exit_timestamp"]
-    return inside.union(across).select(*out)
+    last = F.col("_next").isNull()
+    edge = last | (F.col("_pos") == 1)
+
+    def opens_stay(after: str) -> Column:
+        same_key = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{after}.{k}")) for k in keys])
+        return (F.col("event_type") == ENTRY) & (F.col(f"{after}.event_type") == EXIT) & same_key
+
+    # Stays inside a bucket stay spread by bucket; all edges form one small group.
+    kept = events.filter(edge | opens_stay("_next")).withColumn("_group", F.when(edge, F.lit(-1)).otherwise(F.col("_b")))
+    across = Window.partitionBy("_group").orderBy("_b", *order)
+    found = kept.select("*", F.lead(follower).over(across).alias("_after"))
+    found = found.withColumn("_exit", F.when(last, F.col("_after")).otherwise(F.col("_next")))
+    out = [c for c in keep if c != "event_type"]
+    return found.filter(opens_stay("_exit")).select(*out, F.col("_exit.timestamp").alias("exit_timestamp"))

@@ -21,14 +21,20 @@ def with_record_date(df: DataFrame) -> DataFrame:
 def latest_day(df: DataFrame) -> DataFrame:
     """Rows of the latest ``record_date`` present (empty input -> empty output).
 
-    The latest date is a scalar subquery, so no value travels through the driver and a
-    date-partitioned table prunes to one directory.
+    The latest date is a scalar subquery: one plan, which reads the dates once more. A job
+    that needs the day several times finds it once (``latest_date``) and filters by value.
     """
     dated = with_record_date(df)
     latest = dated.select(F.max("record_date")).scalar()
     return dated.filter(F.col("record_date") == latest)
 
 
+def latest_date(df: DataFrame):
+    """The latest ``record_date`` as a value, None for no rows. One date reaches the driver; a
+    filter by it prunes a date-partitioned table when the plan is made."""
+    return with_record_date(df).agg(F.max("record_date")).first()[0]
+
+
 def dedupe_events(df: DataFrame, add_record_date: bool = False) -> DataFrame:
     """One row per ``event_id``: the first copy by time, then by the other columns.
 
@@ -48,16 +54,21 @@ def dedupe_events(df: DataFrame, add_record_date: bool = False) -> DataFrame:
     return ranked.filter(F.col("_copy") == 1).select(*out)
 
 
+def valid_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFrame:
+    """Student present, (optionally) not in the future. ``as_of=None``: the current time."""
+    cond = F.col("student_id").isNotNull()
+    if check_time:
+        cond = cond & (F.col("timestamp") <= ts_cutoff(df, "timestamp", as_of))
+    return df.filter(cond)
+
+
 def clean_events(df: DataFrame, as_of=None, check_time: bool = True) -> DataFrame:
-    """Quality checks: student present, (optionally) not in the future, one row per id.
+    """Quality checks: valid events, one row per id.
 
     The validity filters run before the dedupe so they reach the Parquet scan and a bad copy
-    can never hide a good one. ``as_of=None`` compares with the current time.
+    can never hide a good one.
     """
-    cond = F.col("student_id").isNotNull()
-    if check_time:
-        cond = cond & (F.col("timestamp") <= ts_cutoff(df, "timestamp", as_of))
-    return dedupe_events(df.filter(cond), add_record_date=True)
+    return dedupe_events(valid_events(df, as_of, check_time), add_record_date=True)
 
 
 def clean_events_full(df: DataFrame, as_of=None) -> DataFrame:
@@ -65,6 +76,7 @@ def clean_events_full(df: DataFrame, as_of=None) -> DataFrame:
     return clean_events(df, as_of=as_of, check_time=True)
 
 
-def clean_events_daily(df: DataFrame) -> DataFrame:
-    """Latest-day checks: the latest date is taken over all rows, then student present."""
-    return clean_events(latest_day(df), check_time=False)
+def clean_events_daily(df: DataFrame, latest: bool = False) -> DataFrame:
+    """Latest-day checks: the latest date is taken over all rows, then student present.
+    ``latest=True``: ``df`` holds that day's rows already."""
+    return clean_events(df if latest else latest_day(df), check_time=False)

@@ -18,7 +18,7 @@ from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
 from turnstile.operators.ingest import JSON_WRITE_OPTIONS, parse_events, route_events, to_json_value
-from turnstile.operators.quality import clean_events_daily, clean_events_full, latest_day, with_record_date
+from turnstile.operators.quality import clean_events_daily, clean_events_full, latest_day, valid_events, with_record_date
 from turnstile.plans.oracle import (
     AS_OF_CLEAN,
     AS_OF_GRAPH,
@@ -206,6 +206,12 @@ WHERE rk <= 5 GROUP BY major, year ORDER BY major, year""".format(
         for i in range(1, 6)
     )
 )
+_Q1_VISITS = _Q1.replace(
+    "(SELECT DISTINCT student_id, location FROM clean WHERE gate_type = 'ROOM_GATE')",
+    "(SELECT student_id, location FROM clean WHERE gate_type = 'ROOM_GATE' AND event_type = 'ENTRY')",
+)
+# The odd view is read as it is: the cleaning would take its null timestamps away.
+CTE_ODD = [("clean", " SELECT * FROM gate_events_odd")]
 _PER_STUDENT = (
     "per_student",
     f""" SELECT CAST(timestamp AS DATE) AS visit_date, {period_sql('timestamp')} AS time_period,
@@ -241,6 +247,7 @@ SELECT total_entries, unique_students, unique_days,
 FROM (SELECT count(*) AS total_entries, count(DISTINCT student_id) AS unique_students,
              count(DISTINCT CAST(timestamp + INTERVAL 8 HOUR AS DATE)) AS unique_days
       FROM clean WHERE gate_type = 'MAIN_GATE' AND event_type = 'ENTRY')"""
+# The clock labels of the original.
 _Q4 = """
 SELECT local_hour,
        CASE WHEN local_hour = 0 THEN '12:00 AM'
@@ -309,9 +316,9 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         lambda s, sf: R.room_durations_daily(_clean_dense_daily(s, sf)),
         _durations_sql(CTE_DENSE_DAILY),
     ),
-    # one student holding a third of all events: the balanced pairing and pre-aggregation
+    # one student holding a third of all events: pairing and pre-aggregation
     "room_durations_hot_range": (
-        lambda s, sf: R.room_durations_full(_clean_hot(s, sf), split="range"),
+        lambda s, sf: R.room_durations_full(_clean_hot(s, sf)),
         _durations_sql(CTE_HOT),
     ),
     # student dimension and graph tables
@@ -325,7 +332,7 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         with_views(CTE_PLAIN, "SELECT event_id, event_type, gate_type, location, timestamp FROM clean"),
     ),
     "v_library": (
-        lambda s, sf: G.v_library(_clean_plain(s, sf)),
+        lambda s, sf: G.v_library(valid_events(fx.gate_events(s, sf), as_of=AS_OF_GRAPH)),
         with_views(CTE_PLAIN, "SELECT DISTINCT 'Main Library' AS name FROM clean"),
     ),
     "v_room": (
@@ -361,6 +368,20 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         lambda s, sf: A.top_rooms_by_major_year(G.e_entered(_clean_dense(s, sf)), _students(s, sf)),
         with_views(CTE_DENSE + [KNOWN], _Q1),
     ),
+    "top5_rooms_by_major_year_visits": (
+        lambda s, sf: A.top_rooms_by_major_year(_clean_plain(s, sf), _students(s, sf), count_mode="visits"),
+        with_views(CTE_PLAIN + [KNOWN], _Q1_VISITS),
+    ),
+    # main-hall events at room gates and null timestamps, which the questions leave out
+    "top5_rooms_by_major_year_odd": (
+        lambda s, sf: A.top_rooms_by_major_year(G.e_entered(fx.gate_events_odd(s, sf)), _students(s, sf)),
+        with_views(CTE_ODD + [KNOWN], _Q1),
+    ),
+    "popular_rooms_odd": (lambda s, sf: A.popular_rooms(fx.gate_events_odd(s, sf)), with_views(CTE_ODD, _Q5)),
+    "daily_visits_by_period_odd": (
+        lambda s, sf: A.daily_visits_by_period(fx.gate_events_odd(s, sf), _students(s, sf), **_q2_args()),
+        with_views(CTE_ODD + [KNOWN, _PER_STUDENT], _Q2),
+    ),
     "daily_visits_by_period": (
         lambda s, sf: A.daily_visits_by_period(_clean_plain(s, sf), _students(s, sf), **_q2_args()),
         with_views(CTE_PLAIN + [KNOWN, _PER_STUDENT], _Q2),

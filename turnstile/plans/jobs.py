@@ -2,7 +2,8 @@
 
 Each job reads tables, writes tables, and can be re-run: the output is the same.
 Intermediate results that several outputs share (the clean events, the stays) are written
-once as tables and read back, which also cuts the lineage a lost executor would replay.
+once as tables and read back, which also cuts the lineage a lost executor would replay. They
+are read back with the schema they were written with, so that a table without rows is one too.
 """
 
 from __future__ import annotations
@@ -14,10 +15,15 @@ from turnstile.config import Settings
 from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
-from turnstile.operators.quality import clean_events_daily, clean_events_full, with_record_date
-from turnstile.session import size_shuffle_partitions
+from turnstile.operators.quality import (
+    clean_events_daily,
+    clean_events_full,
+    latest_date,
+    with_record_date,
+)
+from turnstile.schema import CLEAN_EVENT, STUDENT_DIM
 from turnstile.sinks import preview, write_report, write_table
-from turnstile.sources import read_curated, read_students_csv
+from turnstile.sources import read_curated, read_students_csv, read_table
 
 
 def land_students(spark: SparkSession, settings: Settings, csv_path: str | None = None) -> None:
@@ -29,11 +35,13 @@ def land_students(spark: SparkSession, settings: Settings, csv_path: str | None
 
 
 def _students(spark: SparkSession, settings: Settings) -> DataFrame:
-    return spark.read.parquet(settings.students)
+    return read_table(spark, settings.students, STUDENT_DIM)
 
 
 CLEAN_PARTITIONS = ("record_date", "gate_type")
 CLEAN_CLUSTER = (*CLEAN_PARTITIONS, "timestamp", "event_id")
+# The event tables of the graph, by date, in the layout that the stream upsert appends to.
+BY_DATE = ("v_event", "e_performed")
 
 
 def _publish(reports: dict[str, DataFrame], settings: Settings, daily: bool, show: bool) -> None:
@@ -43,25 +51,24 @@ def _publish(reports: dict[str, DataFrame], settings: Settings, daily: bool, sho
         write_report(df, settings.report(name), daily=daily)
 
 
+def _write_back(df: DataFrame, path: str) -> DataFrame:
+    """Write clean events by date and gate, and read the table."""
+    write_table(df, path, partition_by=CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTER)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_full_batch(
     spark: SparkSession, settings: Settings, as_of=None, with_graph: bool = True, show: bool = False
 ) -> None:
-    """Whole history: clean table, four reports (replaced), graph tables (replaced).
-
-    The first shuffle (the dedupe) is sized from the curated table's size.
-    """
-    curated = read_curated(spark, settings.curated)
-    size_shuffle_partitions(spark, curated)
-    clean = clean_events_full(curated, as_of=as_of)
-    write_table(clean, settings.clean, partition_by=CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTER)
-    clean = spark.read.parquet(settings.clean)
-
+    """Whole history: clean table, four reports (replaced), graph tables (replaced)."""
+    clean = _write_back(clean_events_full(read_curated(spark, settings.curated), as_of=as_of), settings.clean)
+    durations = R.room_durations_full(clean, ordered=False)
     _publish(
         {
-            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
-            "daily_rooms": R.daily_room_usage_full(clean, ordered=True),
-            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
-            "room_durations": R.room_durations_full(clean, ordered=True, split=settings.pairing_split),
+            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=False),
+            "daily_rooms": R.daily_room_usage_full(clean, ordered=False),
+            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=False),
+            "room_durations": durations,
         },
         settings,
         daily=False,
@@ -69,52 +76,47 @@ def run_full_batch(
     )
 
     if with_graph:
-        durations = spark.read.parquet(settings.report("room_durations"))
-        for name, table in G.graph_tables(_students(spark, settings), clean, durations).items():
-            write_table(table, settings.graph(name))
+        stays = spark.read.schema(durations.schema).parquet(settings.report("room_durations"))
+        for name, table in G.graph_tables(_students(spark, settings), clean, stays).items():
+            write_table(table, settings.graph(name), partition_by=("record_date",) if name in BY_DATE else ())
 
 
 def run_daily_batch(spark: SparkSession, settings: Settings, show: bool = False) -> None:
-    """Latest day only; the clean table and each report replace just that day's partitions.
+    """Latest day only: a clean table of its own (the questions read the whole history's), each report
+    replaces just that day's partitions, and the latest-day column sets are written as tables.
 
-    The tables keep one schema for both jobs: the hourly reports are written in their
+    The report tables keep one schema for both jobs: the hourly reports are written in their
     whole-history form (entries and exits), restricted to the day. Stays are paired within
-    the day, as the latest-day report defines them. The latest date stays a scalar subquery
-    (on a date-partitioned curated table it prunes to one directory). Shuffle sizing is left
-    to the session: size statistics do not see that pruning, so they would size for the
-    whole table.
+    the day, as the latest-day report defines them. The day is found once, and every later
+    step filters by its value.
     """
-    curated = read_curated(spark, settings.curated)
-    write_table(
-        clean_events_daily(curated), settings.clean, partition_by=CLEAN_PARTITIONS, dynamic=True,
-        cluster_by=CLEAN_CLUSTER,
-    )
-    latest = with_record_date(curated).select(F.max("record_date")).scalar()
-    clean = spark.read.parquet(settings.clean).filter(F.col("record_date") == latest)
-
+    curated = with_record_date(read_curated(spark, settings.curated))
+    day = latest_date(curated)
+    # No rows, no day: nothing matches, and the tables are written empty.
+    today = curated.filter(F.col("record_date") == F.lit(day).cast("date"))
+    clean = _write_back(clean_events_daily(today, latest=True), settings.clean_daily)
     _publish(
         {
-            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=True),
-            "daily_rooms": R.daily_room_usage_daily(clean, ordered=True),
-            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=True),
-            "room_durations": R.room_durations_daily(clean, ordered=True, split=settings.pairing_split),
+            "hourly_traffic": R.hourly_gate_traffic_full(clean, ordered=False),
+            "daily_rooms": R.daily_room_usage_daily(clean, ordered=False),
+            "hourly_room_usage": R.hourly_room_usage_full(clean, ordered=False),
+            "room_durations": R.room_durations_daily(clean, ordered=False),
         },
         settings,
         daily=True,
         show=show,
     )
+    for name, df in daily_views(clean).items():
+        write_table(df, settings.report(f"daily/{name}"))
 
 
-def daily_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The latest-day column sets, as projections of the shared report tables."""
-    hourly = tables["hourly_traffic"].filter(F.col("total_hourly_entries") > 0)
-    rooms = tables["hourly_room_usage"].filter(F.col("total_entries") > 0)
+def daily_views(clean: DataFrame) -> dict[str, DataFrame]:
+    """The latest-day reports with the column sets of their own."""
     return {
-        "hourly_traffic": hourly.select("record_date", "record_hour", "total_hourly_entries"),
-        "hourly_room_usage": rooms.select(
-            "record_date", "room_id", F.col("record_hour").alias("entry_hour"),
-            F.col("total_entries").alias("total_visits"),
-        ),
+        "hourly_traffic": R.hourly_gate_traffic_daily(clean),
+        "daily_rooms": R.daily_room_usage_daily(clean),
+        "hourly_room_usage": R.hourly_room_usage_daily(clean),
+        "room_durations": R.room_durations_daily(clean),
     }
 
 
@@ -122,7 +124,7 @@ def analytics(
     spark: SparkSession, settings: Settings, as_of=None, trailing_days: int = 30
 ) -> dict[str, DataFrame]:
     """The five questions over the clean table written by the whole-history job."""
-    clean = spark.read.parquet(settings.clean)
+    clean = read_table(spark, settings.clean, CLEAN_EVENT)
     students = _students(spark, settings)
     return {
         "top5_rooms_by_major_year": A.top_rooms_by_major_year(G.e_entered(clean), students),
@@ -133,6 +135,11 @@ def analytics(
     }
 
 
-def run_analytics(spark: SparkSession, settings: Settings, as_of=None, trailing_days: int = 30) -> None:
+def run_analytics(
+    spark: SparkSession, settings: Settings, as_of=None, trailing_days: int = 30, show: bool = False
+) -> None:
+    """Write every answer whole, as a table; ``show`` also prints the first rows."""
     for name, df in analytics(spark, settings, as_of, trailing_days).items():
+        if show:
+            preview(df, name)
         write_table(df, settings.path(f"analytics/{name}"))

@@ -19,40 +19,46 @@ VIEWS = {
     CASE WHEN event_type IN ('click', 'view', 'signup') THEN 'ENTRY' ELSE 'EXIT' END AS event_type,
     CASE WHEN event_id % 2 = 0 THEN 'MAIN_GATE' ELSE 'ROOM_GATE' END AS gate_type,
     CASE WHEN event_id % 2 = 0 THEN 'MAIN_HALL'
-         ELSE concat(CASE WHEN CAST(floor(event_id / 2) AS INTEGER) % 12 < 6 THEN '1' ELSE '2' END,
-                     substr('ABCDEF', CAST(floor(event_id / 2) AS INTEGER) % 6 + 1, 1)) END AS location,
+         ELSE 'room' || lpad(CAST((event_id // 2) % 12 AS VARCHAR), 2, '0') END AS location,
     ts AS timestamp
   FROM events""",
     "gate_events_dirty": """
-  SELECT event_id, CASE WHEN CAST(event_id AS INTEGER) % 23 = 0 THEN NULL ELSE student_id END AS student_id,
+  SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 23 = 0 THEN NULL ELSE student_id END AS student_id,
          event_type, gate_type, location, timestamp FROM gate_events
   UNION ALL
   SELECT event_id, student_id, event_type, gate_type, location, timestamp + INTERVAL 1 MINUTE
-  FROM gate_events WHERE CAST(event_id AS INTEGER) % 17 = 0""",
+  FROM gate_events WHERE CAST(event_id AS BIGINT) % 17 = 0""",
     "gate_events_dense": """
-  SELECT event_id, CAST(CAST(student_id AS INTEGER) % 5 AS VARCHAR) AS student_id, event_type, gate_type,
+  SELECT event_id, CAST(CAST(student_id AS BIGINT) % 5 AS VARCHAR) AS student_id, event_type, gate_type,
     CASE WHEN gate_type = 'MAIN_GATE' THEN location
-         WHEN CAST(floor(CAST(event_id AS INTEGER) / 2) AS INTEGER) % 2 = 0 THEN '1A' ELSE '1B' END AS location,
+         WHEN (CAST(event_id AS BIGINT) // 2) % 2 = 0 THEN 'room00' ELSE 'room01' END AS location,
     timestamp
   FROM gate_events""",
     "gate_events_hot": """
   SELECT event_id,
     CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN '0' ELSE student_id END AS student_id,
     event_type, gate_type,
-    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 AND gate_type = 'ROOM_GATE' THEN '1A' ELSE location END AS location,
+    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 AND gate_type = 'ROOM_GATE' THEN 'room00' ELSE location END AS location,
     timestamp
+  FROM gate_events""",
+    "gate_events_odd": """
+  SELECT event_id, student_id, event_type, gate_type,
+    CASE WHEN gate_type = 'ROOM_GATE' AND CAST(event_id AS BIGINT) % 19 = 0 THEN 'MAIN_HALL' ELSE location END AS location,
+    CASE WHEN CAST(event_id AS BIGINT) % 47 = 0 THEN NULL ELSE timestamp END AS timestamp
   FROM gate_events""",
     "students": """
-  SELECT CAST(c_custkey AS VARCHAR) AS student_id, c_mktsegment AS major,
-    CAST(c_nationkey % 4 + 1 AS INTEGER) AS year_of_study,
+  SELECT CAST(c_custkey AS VARCHAR) AS student_id,
+    CASE WHEN c_custkey % 20 = 3 THEN NULL ELSE c_mktsegment END AS major,
+    CASE WHEN c_custkey % 20 = 13 THEN NULL ELSE CAST(c_nationkey % 4 + 1 AS INTEGER) END AS year_of_study,
     CASE WHEN c_acctbal >= 3000 THEN 'Undergraduate' ELSE 'Postgraduate' END AS study_level
-  FROM customer WHERE c_custkey % 10 <> 3""",
+  FROM customer""",
 }
 _VIEW_DEPS = {
     "gate_events": (),
     "gate_events_dirty": ("gate_events",),
     "gate_events_dense": ("gate_events",),
     "gate_events_hot": ("gate_events",),
+    "gate_events_odd": ("gate_events",),
     "students": (),
 }
 
@@ -112,6 +118,7 @@ def with_views(ctes: list[tuple[str, str]], body: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+# The period bounds and labels of the original, repeated so that the SQL stands alone.
 def period_sql(ts: str) -> str:
     h = f"hour({ts} + INTERVAL 8 HOUR)"
     return (

@@ -59,4 +59,15 @@ STUDENT_CSV = T.StructType(
     ]
 )
 
+# The clean event table (timestamps as the session's kind; a test may write the zone-less one).
+CLEAN_EVENT = T.StructType([*GATE_EVENT.fields, T.StructField("record_date", T.DateType(), True)])
+STUDENT_DIM = T.StructType(
+    [
+        T.StructField("student_id", T.StringType(), True),
+        T.StructField("major", T.StringType(), True),
+        T.StructField("year_of_study", T.IntegerType(), True),
+        T.StructField("study_level", T.StringType(), True),
+    ]
+)
+
 STUDENT_DIM_COLUMNS = ("student_id", "major", "year_of_study", "study_level")

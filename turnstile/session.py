@@ -43,52 +43,8 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     # getOrCreate hands back an existing session: make the runtime SQL settings hold there too.
+    # Static settings (a warehouse folder, say) were taken by the builder or cannot change any more.
     for key, value in conf.items():
-        if key.startswith("spark.sql."):
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """The shared folder for lineage cuts, as named by the cluster.
-
-    Reads ``spark.checkpoint.dir`` from the session; a fallback is set only where the
-    setting is unset (local runs and tests).
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    chosen = configured or fallback
-    if chosen:
-        spark.sparkContext.setCheckpointDir(chosen)
-        return spark.sparkContext.getCheckpointDir() or chosen
-    return None
-
-
-
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def size_shuffle_partitions(
-    spark: SparkSession,
-    df,
-    target_bytes: int = 256 << 20,
-    expansion: float = 3.0,
-) -> int:
-    """Size the first shuffle of a job from its input.
-
-    The planned input size (file sizes from the listing Spark already made) times
-    ``expansion`` (decoded rows are larger than compressed Parquet) over ``target_bytes``
-    gives the initial partition count, so no shuffle partition outgrows executor memory;
-    AQE coalesces small ones back down. A value the user set is kept. Never below
-    ``spark.sql.shuffle.partitions``.
-    """
-    current = spark.conf.get(INITIAL_PARTITIONS, None)
-    if current:
-        return int(current)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(floor, -(-int(size * expansion) // target_bytes))
-    spark.conf.set(INITIAL_PARTITIONS, str(n))
-    return n

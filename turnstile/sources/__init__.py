@@ -2,6 +2,7 @@
 
 from turnstile.sources.files import (
     read_curated,
+    read_table,
     read_events_json,
     read_raw_log,
     read_students_csv,
@@ -11,6 +12,7 @@ from turnstile.sources.kafka import kafka_stream
 __all__ = [
     "kafka_stream",
     "read_curated",
+    "read_table",
     "read_events_json",
     "read_raw_log",
     "read_students_csv",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from turnstile.schema import EVENT_COLUMNS, GATE_EVENT, STUDENT_CSV
+from turnstile.schema import CLEAN_EVENT, EVENT_COLUMNS, GATE_EVENT, STUDENT_CSV
 
 
 def read_students_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -13,9 +14,22 @@ def read_students_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STUDENT_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_events_json(spark: SparkSession, path: str, schema: T.StructType = GATE_EVENT) -> DataFrame:
-    """An event batch file: one (indented) JSON array of event objects per file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_events_json(
+    spark: SparkSession, path: str, schema: T.StructType = GATE_EVENT, lines: bool = False
+) -> DataFrame:
+    """An event batch file: one (indented) JSON array of event objects per file, which one task must read
+    whole. ``lines``: JSON Lines, one event a line, which Spark splits; use it for large files."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+
+
+def read_table(spark: SparkSession, path: str, empty: T.StructType) -> DataFrame:
+    """A Parquet table; a folder without a file yet is a table without rows, of the ``empty`` schema."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as none:
+        if none.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(empty).parquet(path)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +38,7 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
     Columns are selected by name so a partition column (which discovery moves to the end)
     keeps its place; filters on ``gate_type`` / ``record_date`` prune directories.
     """
-    df = spark.read.parquet(path)
+    df = read_table(spark, path, CLEAN_EVENT)
     ordered = [c for c in EVENT_COLUMNS if c in df.columns]
     rest = [c for c in df.columns if c not in ordered]
     return df.select(*ordered, *rest)

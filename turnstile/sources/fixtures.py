@@ -27,10 +27,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def _half(event_id: Column) -> Column:
+    return F.shiftright(event_id, 1)  # ids are BIGINT and not negative
+
+
 def _room_of(event_id: Column) -> Column:
-    half = F.floor(event_id / 2).cast("int")
-    floor_digit = F.when(half % 12 < 6, F.lit("1")).otherwise(F.lit("2"))
-    return F.concat(floor_digit, F.substr(F.lit("ABCDEF"), half % 6 + 1, F.lit(1)))
+    """One of twelve rooms, room00 to room11."""
+    return F.concat(F.lit("room"), F.lpad((_half(event_id) % 12).cast("string"), 2, "0"))
 
 
 def gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +55,7 @@ def gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain view with null students and late duplicate copies (one minute later)."""
     plain = gate_events(spark, sf_dir)
-    n = plain.event_id.cast("int")
+    n = plain.event_id.cast("long")
     nulled = plain.select(
         "event_id",
         F.when(n % 23 == 0, F.lit(None).cast("string")).otherwise(plain.student_id).alias("student_id"),
@@ -68,15 +71,15 @@ def gate_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_events_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five people and two rooms: many stays per person, room and day."""
     plain = gate_events(spark, sf_dir)
-    half = F.floor(plain.event_id.cast("int") / 2).cast("int")
+    half = _half(plain.event_id.cast("long"))
     return plain.select(
         "event_id",
-        (plain.student_id.cast("int") % 5).cast("string").alias("student_id"),
+        (plain.student_id.cast("long") % 5).cast("string").alias("student_id"),
         "event_type",
         "gate_type",
         F.when(plain.gate_type == "MAIN_GATE", plain.location)
-        .when(half % 2 == 0, F.lit("1A"))
-        .otherwise(F.lit("1B"))
+        .when(half % 2 == 0, F.lit("room00"))
+        .otherwise(F.lit("room01"))
         .alias("location"),
         "timestamp",
     )
@@ -84,7 +87,7 @@ def gate_events_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain view where one student ("0") holds a third of all events (every id divisible
-    by 3), all of that student's room events in room 1A: the skewed-key case."""
+    by 3), all of that student's room events in room00: the skewed-key case."""
     plain = gate_events(spark, sf_dir)
     hot = plain.event_id.cast("long") % 3 == 0
     return plain.select(
@@ -92,18 +95,33 @@ def gate_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hot, F.lit("0")).otherwise(plain.student_id).alias("student_id"),
         "event_type",
         "gate_type",
-        F.when(hot & (plain.gate_type == "ROOM_GATE"), F.lit("1A")).otherwise(plain.location).alias("location"),
+        F.when(hot & (plain.gate_type == "ROOM_GATE"), F.lit("room00")).otherwise(plain.location).alias("location"),
         "timestamp",
     )
 
 
+def gate_events_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain view with room events in the main hall (every 19th id) and null timestamps (every
+    47th): what the questions must leave out."""
+    plain = gate_events(spark, sf_dir)
+    n = plain.event_id.cast("long")
+    return plain.select(
+        "event_id", "student_id", "event_type", "gate_type",
+        F.when((plain.gate_type == "ROOM_GATE") & (n % 19 == 0), F.lit("MAIN_HALL")).otherwise(plain.location).alias("location"),
+        F.when(n % 47 == 0, F.lit(None)).otherwise(plain.timestamp).alias("timestamp"),
+    )
+
+
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Student dimension as text columns (like the CSV); ids ending in 3 are unknown."""
+    """Student dimension as text columns (like the CSV), every customer: ids that end in 03, 23 ... have no
+    major, those that end in 13, 33 ... a year that is no number; years are written "2" or "2.0"."""
     cu = _table(spark, sf_dir, "customer")
-    return cu.filter(cu.c_custkey % 10 != 3).select(
+    year = (cu.c_nationkey % 4 + 1).cast("string")
+    return cu.select(
         cu.c_custkey.cast("string").alias("student_id"),
-        cu.c_mktsegment.alias("major"),
-        (cu.c_nationkey % 4 + 1).cast("string").alias("year_of_study"),
+        F.when(cu.c_custkey % 20 == 3, F.lit(None)).otherwise(cu.c_mktsegment).alias("major"),
+        F.when(cu.c_custkey % 20 == 13, F.lit("n/a")).when(cu.c_custkey % 7 == 0, F.concat(year, F.lit(".0"))).otherwise(year)
+        .alias("year_of_study"),
         F.when(cu.c_acctbal >= 3000, F.lit("Undergraduate"))
         .otherwise(F.lit("Postgraduate"))
         .alias("study_level"),

@@ -9,7 +9,10 @@ commit a batch once, so a replayed micro-batch adds nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +21,7 @@ from turnstile.config import Settings
 from turnstile.operators.ingest import parse_events
 from turnstile.operators.quality import with_record_date
 from turnstile.schema import GATE_EVENT
+from turnstile.sinks import write_table
 
 CURATED_PARTITIONS = ("record_date", "gate_type")
 
@@ -78,55 +82,64 @@ def start_ingest(
     return raw, curated
 
 
-def run_stream(spark, settings: Settings, trigger: dict | None = None) -> None:
-    """The long-running ingest: Kafka -> raw log + curated table, until a query stops."""
+def run_stream(spark, settings: Settings, trigger: dict | None = None, upsert: bool = False) -> None:
+    """The long-running ingest: Kafka -> raw log + curated table (+ graph tables with ``upsert``), until a
+    query stops. ``settings.max_offsets_per_trigger`` bounds each micro-batch, the first one too."""
     from turnstile.sources.kafka import kafka_stream
 
-    start_ingest(kafka_stream(spark, settings.kafka_servers, settings.topics), settings, trigger)
+    source = kafka_stream(
+        spark, settings.kafka_servers, settings.topics, max_offsets_per_trigger=settings.max_offsets_per_trigger
+    )
+    start_ingest(source, settings, trigger)
+    if upsert:
+        upsert_query(source, settings, trigger)
     spark.streams.awaitAnyTermination()
 
 
+def upsert_query(source: DataFrame, settings: Settings, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the graph's event tables up to date micro-batch by micro-batch."""
+    writer = source.writeStream.foreachBatch(graph_upsert(settings)).queryName("graph_upsert")
+    return _trigger(writer.option("checkpointLocation", settings.checkpoint("graph_upsert")), trigger).start()
+
+
 def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
     """A ``foreachBatch`` function that appends new event / student vertices and PERFORMED
-    edges of a micro-batch. Keys already stored are skipped (anti-join), so a replayed
-    batch, or an event sent twice, adds nothing. The event tables are partitioned by date
-    and the anti-join includes the date, so only the batch's date partitions are read; the
-    price is that a copy of an event stamped on another day is stored again (the batch job's
-    dedupe on ``event_id`` alone remains the reference for the graph tables)."""
+    edges of a micro-batch, to the tables that the whole-history job writes and in its layout.
 
-    def _append_new(batch: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()):
-        spark = batch.sparkSession
+    Keys already stored are skipped, so a replayed batch, or an event sent twice, adds nothing;
+    the comparison is null-safe, so neither does an event whose timestamp cannot be read. The
+    event tables are partitioned by date and the date is part of the key: a copy of an event
+    stamped on another day is stored again, until the next whole-history run (whose dedupe on
+    ``event_id`` alone is the reference) replaces the tables.
+    """
+
+    def append_new(batch: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()) -> None:
         fresh = batch.dropDuplicates(keys)
+        spark = batch.sparkSession
         try:
-            stored = spark.read.parquet(path).select(*keys)
-        except Exception as exc:  # first batch: the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            stored = spark.read.schema(batch.schema).parquet(path)
+        except AnalysisException as none:  # the first batch of all
+            if none.getCondition() != "PATH_NOT_FOUND":
                 raise
-            stored = None
-        if stored is not None:
-            if "record_date" in partition_by:
-                # Only the batch's own days can hold its keys: a static partition filter (a
-                # micro-batch spans a few days), so the stored table is not read whole.
-                days = [r[0] for r in fresh.select("record_date").distinct().collect()]
-                stored = stored.filter(F.col("record_date").isin(days))
-            fresh = fresh.join(stored, keys, "left_anti")
-        writer = fresh.write.mode("append").format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(path)
+        else:
+            known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            fresh = fresh.join(known, same, "left_anti")
+        write_table(fresh, path, partition_by=partition_by, mode="append")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         events = with_record_date(parse_events(batch, schema)).filter(F.col("student_id").isNotNull())
         events = events.persist()  # one micro-batch, read by three appends
-        _append_new(
-            events.select("record_date", "event_id", "event_type", "gate_type", "location", "timestamp"),
-            settings.graph("v_event"), ["record_date", "event_id"], ("record_date",),
+        day = ("record_date",)
+        append_new(
+            events.select("event_id", "event_type", "gate_type", "location", "timestamp", "record_date"),
+            settings.graph("v_event"), ["record_date", "event_id"], day,
         )
-        _append_new(
-            events.select("record_date", "student_id", "event_id"),
-            settings.graph("e_performed"), ["record_date", "student_id", "event_id"], ("record_date",),
+        append_new(
+            events.select("student_id", "event_id", "record_date"),
+            settings.graph("e_performed"), ["record_date", "student_id", "event_id"], day,
         )
-        _append_new(events.select("student_id"), settings.graph("v_student_seen"), ["student_id"])
+        append_new(events.select("student_id"), settings.graph("v_student_seen"), ["student_id"])
         events.unpersist()
 
     return upsert
