@@ -325,5 +325,6 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
     spans = F.col("pii_spans")
     base = F.filter(spans, lambda s: s["base"])
     written = lambda x: F.concat_ws(",", F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of_kind = lambda k: lambda s: s["kind"] == k
+    counts = [F.size(F.filter(base, of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(spans).alias("spans"))
