@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm import bpe, decontaminate, jaccard_join, pii, quality
-from turnstile.llm.common import read, scratch, scratch_dir
+from turnstile.llm.common import read, scratch_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    both = bpe.decode(bpe.encode(docs))
+    both = bpe.encode(docs, decoded=True)
     return both.select("doc_id", "text", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
 
 

@@ -3,14 +3,14 @@
 Documents are read in *blocks* (rows of one task up to ``BLOCK_CHARS`` characters). A word is white space and
 what follows up to the next white space; pre-tokens never cross its borders. A block gives
 
-- its distinct words, one row each: (block, position in the block's word list, word);
-- its layout: for each document the positions of its words, in order, compressed.
+- its distinct words, dealt by hash into buckets, one compressed row for each bucket;
+- its layout: for each document the positions of its words in the block's word list, compressed.
 
-The word rows are dealt and sorted by word, so that a word's rows stand together: the distinct-word table. Each
-distinct word is encoded once and its ids go back to the rows of its run. A block's rows then meet its
-layout, and the ids are joined back by position. A word has at most one row a block, so the most common
-word has as many rows as there are blocks, far fewer than the distinct words of a task; no key is hot.
-The texts themselves are not shuffled, only layouts (a few bits a word) and distinct words.
+All rows of a bucket meet in one task, which keeps that part of the distinct-word table: each distinct word is
+encoded once, and its ids go back in the place of the word. A block's ids then meet its layout and are joined back by
+position. A word has at most one place a block, so no word is hot however often it occurs, and the
+buckets grow in number with ``spark.sql.shuffle.partitions``. The texts themselves are not shuffled, only layouts
+(some bits a word) and distinct words.
 
 Decoding joins ids to their pieces: the piece table (the vocabulary, one row an id) goes to every
 task, and since ids are dense the join is an array lookup. ``pieces_table`` gives it as a DataFrame.
@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -42,7 +43,8 @@ from pyspark.sql import functions as F
 from .common import UNICODE_SPACE, read
 from .token_count import byte_symbols
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 6_000_000
+BUCKETS_A_PARTITION = 4
 WORDS = re.compile(f"[{UNICODE_SPACE}]*[^{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+")
 NAME = "byte_bpe_50k.json"
 
@@ -81,7 +83,7 @@ def pieces_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(pieces(path))), "id int, piece binary")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, list[int], list[int], list[str]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) -> Iterator[tuple[int, pa.Array, list[int], list[int], list[str]]]:
     """(key, document ids, words of each document, word positions, distinct words) of each block of (id, text) rows."""
     part, made = TaskContext.get().partitionId(), 0
     ids: list[pa.Array] = []
@@ -107,7 +109,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
             lengths.append(len(words))
             content.update(text.encode("utf-8", "surrogatepass"))
             size += len(text) + 1
-            if size >= BLOCK_CHARS:
+            if size >= most:
                 ids.append(batch.column(0).slice(start, i + 1 - start))
                 yield flush()
                 ids.clear(), lengths.clear()
@@ -118,14 +120,40 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
         yield flush()
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for key, _, _, _, words in _blocks(batches):
-        for start in range(0, len(words), 20_000):
-            some = words[start : start + 20_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), key)), pa.array(np.arange(start, start + len(some), dtype=np.int32)), pa.array(some, pa.string())], names=["block", "at", "word"])
+def _bucket(words: list[bytes], buckets: int) -> np.ndarray:
+    return (np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(buckets)).astype(np.int32)
 
 
-def _packed(values: list[int]) -> bytes:
+def _squeezed(sizes: np.ndarray, data: bytes) -> bytes:
+    """Slices of ``data``: how many, their sizes, the bytes; compressed."""
+    return zstandard.ZstdCompressor(level=3).compress(np.int32(len(sizes)).tobytes() + sizes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() + data)
+
+
+def _loosened(value: bytes) -> tuple[np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, "<i4", 1)[0])
+    planes = np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel(), raw[4 + 4 * n :]
+
+
+def _word_rows(buckets: int, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, _, _, _, words in _blocks(batches, most):
+            raw = [w.encode("utf-8") for w in words]
+            bucket = _bucket(raw, buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
+            out_bucket, out = [], []
+            for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):  # none at all in a block without words
+                some = [raw[i] for i in order[a:b].tolist()]
+                out_bucket.append(int(bucket[order[a]]))
+                out.append(_squeezed(np.fromiter(map(len, some), np.int64, len(some)), b"".join(some)))
+            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array([key] * len(out), pa.int64()), pa.array(out, pa.binary())], names=["bucket", "block", "words"])
+
+    return run
+
+
+def _packed(values: list[int] | np.ndarray) -> bytes:
     """Byte planes of 32-bit integers, compressed: most words stand early in the block's list."""
     planes = np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
@@ -136,30 +164,37 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _layout_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for key, ids, lengths, stream, words in _blocks(batches):
-        whole = pa.ListArray.from_arrays([0, len(ids)], ids)
-        yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([len(words)], pa.int32()), whole, pa.array([_packed(lengths)], pa.binary()), pa.array([_packed(stream)], pa.binary())], names=["block", "n_words", "ids", "lengths", "stream"])
+def _layout_rows(buckets: int, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, ids, lengths, stream, words in _blocks(batches, most):
+            bucket = _bucket([w.encode("utf-8") for w in words], buckets)
+            whole = pa.ListArray.from_arrays([0, len(ids)], ids)
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), whole, *(pa.array([_packed(x)], pa.binary()) for x in (bucket, lengths, stream))], names=["block", "ids", "buckets", "lengths", "stream"])
+
+    return run
 
 
-def _encode_runs(path: str | None, name: str):
-    """Rows sorted by word to (block, at, ids): every distinct word is encoded once."""
+def _encode_buckets(path: str | None, name: str):
+    """Rows in the order of their bucket to (block, bucket, ids): every distinct word is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path or public_tokenizers.path(name))
         kind = _id_type(tokenizer.get_vocab_size())
-        last, last_ids = None, b""
+        current, table = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            coded = batch.column(2).dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            known = words[0] == last  # its run goes on from the batch before
-            fresh = words[1:] if known else words
-            made = [np.asarray(e.ids, kind).tobytes() for e in tokenizer.encode_batch(fresh, add_special_tokens=False)]
-            made = [last_ids, *made] if known else made
-            last, last_ids = words[-1], made[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary()).take(coded.indices)], names=["block", "at", "ids"])
+            for i in range(batch.num_rows):
+                bucket = batch.column(0)[i].as_py()
+                if bucket != current:
+                    current, table = bucket, {}
+                sizes, data = _loosened(batch.column(2)[i].as_py())
+                ends = np.cumsum(sizes).tolist()
+                words = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                fresh = [w for w in words if w not in table]
+                for w, e in zip(fresh, tokenizer.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False), strict=True):
+                    table[w] = np.asarray(e.ids, kind).tobytes()
+                found = [table[w] for w in words]
+                packed = _squeezed(np.fromiter(map(len, found), np.int64, len(found)), b"".join(found))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), batch.column(1).slice(i, 1), pa.array([packed], pa.binary())], names=["bucket", "block", "ids"])
 
     return run
 
@@ -175,22 +210,28 @@ def ragged(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return data[np.repeat(starts - begins, lengths) + np.arange(total)]
 
 
-def _join_back(kind: str):
-    """A block's layout and its words' ids to one row a document."""
+def _strings(kind: pa.DataType, sizes: np.ndarray, data: bytes) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
+def _join_back(kind: str, decoded: bool, path: str | None, name: str):
+    """A block's layout and its words' ids to one row a document: id, ids, and the decoded text if asked for."""
+    names = ["id", "ids", "text"][: 3 if decoded else 2]
 
     def run(layouts: pa.Table, words: pa.Table) -> pa.Table:
-        out_ids, out = [], []
-        if layouts.num_rows != 1 or layouts.column("n_words")[0].as_py() != words.num_rows:
+        out = []
+        bucket = _unpacked(layouts.column("buckets")[0].as_py()) if layouts.num_rows == 1 else None
+        parts = [_loosened(words.column("ids")[int(i)].as_py()) for i in np.argsort(words.column("bucket").to_numpy())]
+        sizes = np.concatenate([np.zeros(0, np.int64), *(s for s, _ in parts)]).astype(np.int64)
+        if bucket is None or len(bucket) != len(sizes):
             raise RuntimeError("the input gave other rows when it was read again; write it first")
-        data = words.column("ids").combine_chunks()
-        at = words.column("at").to_numpy()
-        sizes = np.diff(np.frombuffer(data.buffers()[1], np.int32, data.offset + len(data) + 1)[data.offset :])
-        begins = np.frombuffer(data.buffers()[1], np.int32, data.offset + len(data) + 1)[data.offset : -1]
-        raw = np.frombuffer(data.buffers()[2] or b"", np.uint8)
-        width = np.dtype(kind).itemsize
-        raw = raw[: len(raw) // width * width].view(kind)
+        raw = np.frombuffer(b"".join(d for _, d in parts), kind)
+        sizes //= raw.itemsize
+        # Words stand by bucket, then position in the block's list.
+        at = np.argsort(bucket, kind="stable")
         begin, size = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        begin[at], size[at] = begins // width, sizes // width
+        begin[at], size[at] = np.cumsum(sizes) - sizes, sizes
         ids = layouts.column("ids").combine_chunks().flatten()
         lengths, stream = _unpacked(layouts.column("lengths")[0].as_py()).astype(np.int64), _unpacked(layouts.column("stream")[0].as_py())
         ends = np.cumsum(lengths)
@@ -201,27 +242,44 @@ def _join_back(kind: str):
             part = stream[ends[first] - lengths[first] : ends[last - 1]]
             tokens = ragged(raw, begin[part], size[part]).astype("<u4")
             per_word = np.concatenate([[0], np.cumsum(size[part])])
-            cuts = per_word[np.concatenate([[0], np.cumsum(lengths[first:last])])] * 4
-            out.append(pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(tokens.tobytes())]))
-            out_ids.append(ids.slice(first, last - first))
+            n = np.diff(per_word[np.concatenate([[0], np.cumsum(lengths[first:last])])])
+            columns = [ids.slice(first, last - first), _strings(pa.binary(), n * 4, tokens.tobytes())]
+            if decoded:
+                columns.append(pa.array(_decoded(tokens, n, path or public_tokenizers.path(name)), pa.string()))
+            out.append(pa.RecordBatch.from_arrays(columns, names=names))
             first = last
-        return pa.Table.from_arrays([pa.chunked_array(out_ids), pa.chunked_array(out)], names=["id", "ids"])
+        return pa.Table.from_batches(out)
 
     return run
 
 
-def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = NAME, path: str | None = None) -> DataFrame:
-    """(id, ids) for each row. ``path`` names a byte-level BPE file on every machine; by default the installed
-    public tokenizer of that name is used."""
+def _decoded(tokens: np.ndarray, sizes: np.ndarray, path: str) -> list[str]:
+    """Joins ids to their pieces; ``sizes`` is how many ids each text has."""
+    data, begin, size = _piece_arrays(path)
+    out, at = [], 0
+    for n in sizes.tolist():
+        parts = []
+        for i in range(at, at + n, 500_000):  # a long document needs no large index
+            key = np.minimum(tokens[i : min(i + 500_000, at + n)], len(size) - 1).astype(np.int64)
+            parts.append(ragged(data, begin[key], size[key]).tobytes())
+        at += n
+        out.append(b"".join(parts).decode("utf-8", "replace"))
+    return out
+
+
+def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, tokenizer: str = NAME, path: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(id, ids) for each row, with ``decoded`` also the text that ``decode`` gives, without a second transfer.
+    ``path`` names a byte-level BPE file on every machine; by default the installed public tokenizer is used."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     size = _tokenizer(path or public_tokenizers.path(tokenizer)).get_vocab_size()
-    words = rows.mapInArrow(_word_rows, "block long, at int, word string")
-    # Dealt by word; AQE has nothing to split as no word has more rows than there are blocks.
-    table = words.repartition("word").sortWithinPartitions("word")
-    known = table.mapInArrow(_encode_runs(path, tokenizer), "block long, at int, ids binary")
-    layout = rows.mapInArrow(_layout_rows, f"block long, n_words int, ids array<{kind}>, lengths binary, stream binary")
-    joined = layout.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_join_back(_id_type(size)), f"id {kind}, ids binary")
+    buckets = BUCKETS_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = rows.mapInArrow(_word_rows(buckets, block_chars), "bucket int, block long, words binary")
+    table = words.repartition("bucket").sortWithinPartitions("bucket")
+    known = table.mapInArrow(_encode_buckets(path, tokenizer), "bucket int, block long, ids binary")
+    layout = rows.mapInArrow(_layout_rows(buckets, block_chars), f"block long, ids array<{kind}>, buckets binary, lengths binary, stream binary")
+    join = _join_back(_id_type(size), decoded, path, tokenizer)
+    joined = layout.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join, f"id {kind}, ids binary" + ", text string" * decoded)
     return joined.withColumnRenamed("id", id_col)
 
 
@@ -233,15 +291,8 @@ def decode(tokens: DataFrame, *, ids_col: str = "ids", text_col: str = "text", t
     def run(ids):
         import pandas as pd
 
-        data, begin, size = _piece_arrays(path or public_tokenizers.path(tokenizer))
-
-        def text(value) -> str:
-            key = np.minimum(np.frombuffer(value or b"", "<u4"), len(size) - 1).astype(np.int64)
-            # Joined in parts, so that a long document needs no large index.
-            parts = (ragged(data, begin[key[i : i + 500_000]], size[key[i : i + 500_000]]).tobytes() for i in range(0, len(key), 500_000))
-            return b"".join(parts).decode("utf-8", "replace")
-
-        return pd.Series([text(v) for v in ids])
+        ids = [np.frombuffer(v or b"", "<u4") for v in ids]
+        return pd.Series([_decoded(x, np.array([len(x)]), path or public_tokenizers.path(tokenizer))[0] for x in ids], dtype=object)
 
     return tokens.withColumn(text_col, run(F.col(ids_col)))
 
@@ -257,5 +308,5 @@ def as_ints(ids: Column) -> Column:
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:
-    both = decode(encode(read(spark, sf_dir, "documents")))
+    both = encode(read(spark, sf_dir, "documents"), decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
