@@ -95,7 +95,7 @@ def train(rows: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     """Rows of (label, buckets, counts) to (logit weight of each bucket, bias)."""
     share = sum(y for y, _, _ in rows) / len(rows) if rows else 0.5
     weights, prior = np.zeros(BUCKETS, np.float32), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    usable = [(y, ids, n / n.sum()) for y, ids, n in rows if len(ids)]
+    usable = [row for row in rows if len(row[1])]
     if len({y >= 0.5 for y, _, _ in usable}) < 2:
         return weights, prior
     rng = np.random.default_rng(SEED)
@@ -104,7 +104,8 @@ def train(rows: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     steps, step = EPOCHS * len(usable), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(usable)):
-            y, ids, share_of = usable[i]
+            y, ids, n = usable[i]
+            share_of = n / n.sum()
             rate = RATE * (1 - step / steps)
             step += 1
             hidden = share_of @ vectors[ids]
