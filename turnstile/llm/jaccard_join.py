@@ -115,7 +115,7 @@ def _feature_rows(size: int):
     return run
 
 
-def prefix_length(n: Column | int):
+def prefix_length(n: int) -> int:
     """n - ceil(PERCENT n / 100) + 1."""
     return n - -(-PERCENT * n // 100) + 1
 
@@ -148,54 +148,81 @@ def _prefix_rows(size: int, order):
     return run
 
 
+_ROWS = "token long, grp long, node long, low int, high int, many boolean, rest int"
+
+
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, node, tokens) to (token, group, node)."""
+    """(grp, node, low, high, many, n, tokens) to one row for each prefix token; ``rest`` is how many tokens of the
+    set stand from this one on."""
     for batch in batches:
         for i in range(0, batch.num_rows, 500):
             part = batch.slice(i, 500)
-            tokens = [np.frombuffer(t.as_py(), np.int64) for t in part.column(2)]
-            if tokens:
-                sizes = [len(t) for t in tokens]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *(pa.array(np.repeat(part.column(c).to_numpy(), sizes)) for c in (0, 1))], names=["token", "grp", "node"])
+            tokens = [np.frombuffer(t.as_py(), np.int64) for t in part.column(6)]
+            if not tokens:
+                continue
+            sizes = np.array([len(t) for t in tokens])
+            n = part.column(5).to_numpy()
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            spread = [pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), sizes)) for c in range(5)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *spread, pa.array((np.repeat(n, sizes) - place).astype(np.int32))], names=["token", "grp", "node", "low", "high", "many", "rest"])
+
+
+def _least_shared(a, b):
+    """Tokens that linked sets of sizes a and b share at least: 0.8 / 1.8 of a + b, rounded up."""
+    return -(-PERCENT * (a + b) // (100 + PERCENT))
+
+
+def _need(a, b):
+    """How many prefix tokens linked sets of sizes a and b share at least: past the prefix of one of them there are
+    less than ceil(0.8 n) tokens left."""
+    return np.maximum(1, _least_shared(a, b) - np.maximum(-(-PERCENT * a // 100), -(-PERCENT * b // 100)) + 1)
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order (token, node) with their groups to the pairs of nodes of different groups on each token."""
+    """Rows in the order (token, node) to the pairs of nodes of different groups on each token whose sizes may link:
+    with the tokens that they need to share, and whether this one may be their first. A group's members have sizes from
+    low to high; ``_need`` is concave between, so its least value lies at a corner."""
 
-    def pairs(token: np.ndarray, group: np.ndarray, node: np.ndarray):
+    def pairs(rows: list[np.ndarray]):
+        token, group, node, low, high, many, rest = rows
         new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])  # a union has a token once
-        token, group, node = token[new], group[new], node[new]
+        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])  # a union has a token once,
+        rest = np.maximum.reduceat(rest, np.flatnonzero(new))  # at its earliest place
+        token, group, node, low, high, many = (x[new] for x in (token, group, node, low, high, many))
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(first, len(token)))
         for a, n in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-            for i in range(n - 1):  # one member against those after it
-                other = slice(a + i + 1, a + n)
-                apart = group[other] != group[a + i]
-                if apart.any():
-                    right = node[other][apart]
-                    yield np.full(len(right), node[a + i]), right
-
-    def out(left: list, right: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
-
-    held = [np.zeros(0, np.int64)] * 3
-    left, right, rows = [], [], 0
+            for i in range(a, a + n - 1):  # one against those after it
+                j = np.arange(i + 1, a + n)
+                j = j[(group[j] != group[i]) & (high[j] * 100 >= low[i] * PERCENT) & (high[i] * 100 >= low[j] * PERCENT)]
+                if len(j):
+                    need = np.min([_need(x, y) for x in (low[i], high[i]) for y in (low[j], high[j])], axis=0)
+                    seed = np.minimum(rest[i], rest[j]) >= _least_shared(low[i], low[j])
+                    yield np.full(len(j), node[i]), node[j], need, seed, many[i] | many[j]
+
+    def out(found: list) -> pa.RecordBatch:
+        a, b, need, seed, many = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(need.astype(np.int32)), pa.array(seed), pa.array(many)], names=["a", "b", "need", "seed", "many"])
+
+    held: list[np.ndarray] | None = None
+    found, rows = [], 0
     for batch in batches:
-        now = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
-        # The last token may go on in the next batch.
-        cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+        if not batch.num_rows:
+            continue
+        now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+        now = [x.astype(np.int64) if x.dtype == np.int32 else x for x in now]
+        now = now if held is None else [np.concatenate(both) for both in zip(held, now, strict=True)]
+        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last token may go on in the next batch
         held = [x[cut:] for x in now]
-        for a, b in pairs(*(x[:cut] for x in now)) if cut else ():
-            left.append(a), right.append(b)
-            rows += len(a)
+        for pair in pairs([x[:cut] for x in now]) if cut else ():
+            found.append(pair)
+            rows += len(pair[0])
             if rows > 100_000:
-                yield out(left, right)
-                left, right, rows = [], [], 0
-    for a, b in pairs(*held) if len(held[0]) else ():
-        left.append(a), right.append(b)
-    if left:
-        yield out(left, right)
+                yield out(found)
+                found, rows = [], 0
+    found += pairs(held) if held is not None else ()
+    if found:
+        yield out(found)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -203,14 +230,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
-def need(a: Column, b: Column) -> Column:
-    """Prefix tokens that linked sets of sizes a and b share at least: their overlap is 0.8 / 1.8 of a + b or more, and past
-    the prefix of one of them there are less than ceil(0.8 n) tokens left."""
-    least = F.ceil(F.lit(PERCENT) * (a + b) / (100 + PERCENT))
-    left = F.greatest(F.ceil(F.lit(PERCENT) * a / 100), F.ceil(F.lit(PERCENT) * b / 100)) - 1
-    return F.greatest(F.lit(1), least - left)
-
-
 def similar_sizes(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
@@ -255,7 +274,7 @@ class Join:
         """Those of the (a, b) node pairs that link."""
         pairs = scratch(pairs.select("a", "b").distinct())
         if pairs.isEmpty():
-            return pairs
+            return self.rows.sparkSession.createDataFrame([], "a long, b long")
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = _small(scratch(self.nodes.join(ends, "node").select("node", "f1", "f2", "id")))
         texts = self.rows.join(wanted.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
@@ -286,38 +305,39 @@ class Join:
         return scratch(found.join(nodes, ["n", "f1", "f2"]).filter(F.col("id").eqNullSafe(F.col("of"))).select("node", "n", "grp", "tokens"))
 
     def meetings(self, rows: DataFrame) -> DataFrame:
-        """(token rows of nodes in groups) to (a, b, c): nodes of different groups and the tokens they share."""
-        dealt = rows.repartition("token").sortWithinPartitions("token", "node")
-        return dealt.mapInArrow(_meetings, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("c"))
+        """(grp, node, low, high, many, n, tokens) to the pairs (a, b) that share enough prefix tokens. Pairs are
+        counted and bounded as they are made; only what passes is joined with anything."""
+        tokens = rows.select("grp", "node", "low", "high", "many", "n", "tokens").mapInArrow(_explode, _ROWS)
+        dealt = tokens.repartition("token").sortWithinPartitions("token", "node")
+        met = dealt.mapInArrow(_meetings, "a long, b long, need int, seed boolean, many boolean").groupBy("a", "b")
+        met = met.agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("need").alias("need"), F.max("many").alias("many"))
+        return met.filter("seed and c >= need").select("a", "b", "many")
 
     def components(self) -> DataFrame:
         """(node, component) for the nodes that have a link."""
         star = self.stars()
         group = scratch(star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("grp")))
         prefixes = self.prefixes(group)
+        # Groups of more than one member: their sizes. The others are their own low and high.
+        wide = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("m")).filter("m > 1").drop("m")
+        sized = prefixes.join(_small(scratch(wide)), "grp", "left").withColumn("many", F.col("low").isNotNull())
+        sized = sized.withColumns({"low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")})
         # Each group's union of prefix tokens: the group stands as its own node.
-        union = prefixes.select("grp", F.col("grp").alias("node"), "tokens").mapInArrow(_explode, "token long, grp long, node long")
-        of_group = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size"))
-        side = lambda x: of_group.select(F.col("grp").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}"), F.col("size").alias(f"size_{x}"))
-        met = self.meetings(union).filter("c > 0").join(side("a"), "a").join(side("b"), "b")
-        low = [F.col("low_a"), F.col("high_a")], [F.col("low_b"), F.col("high_b")]
-        # need() is concave between the sizes' ends, so its least value lies at a corner.
-        bound = F.least(*(need(x, y) for x in low[0] for y in low[1]))
-        fits = (F.col("high_a") * 100 >= F.col("low_b") * PERCENT) & (F.col("high_b") * 100 >= F.col("low_a") * PERCENT)
-        open_ = scratch(met.filter(fits & (F.col("c") >= bound)).select("a", "b", (F.col("size_a") + F.col("size_b")).alias("size")))
+        open_ = scratch(self.meetings(sized.withColumn("node", F.col("grp"))))
         links = star.unionAll(self.links(open_))
         found = components(links)
         # Groups with more than one member that are still apart.
         label = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
-        apart = open_.filter("size > 2").join(label("a"), "a", "left").join(label("b"), "b", "left")
+        apart = open_.filter("many").join(label("a"), "a", "left").join(label("b"), "b", "left")
         apart = scratch(apart.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
         if apart.isEmpty():
             return found
         grps = apart.select(F.col("a").alias("grp")).unionAll(apart.select(F.col("b").alias("grp"))).distinct()
-        members = scratch(prefixes.join(grps, "grp").select("grp", "node", "n", "tokens"))
-        met = self.meetings(members.select("grp", "node", "tokens").mapInArrow(_explode, "token long, grp long, node long"))
-        side = lambda x: members.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("grp").alias(f"grp_{x}"))
-        met = met.join(side("a"), "a").join(side("b"), "b").filter(similar_sizes(F.col("n_a"), F.col("n_b")) & (F.col("c") >= need(F.col("n_a"), F.col("n_b"))))
+        members = prefixes.join(_small(scratch(grps)), "grp").withColumns({"low": F.col("n"), "high": F.col("n"), "many": F.lit(False)})
+        members = scratch(members)
+        met = self.meetings(members)
+        of = lambda x: members.select(F.col("node").alias(x), F.col("grp").alias(f"grp_{x}"))
+        met = met.join(of("a"), "a").join(of("b"), "b")
         pair = apart.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
         met = met.withColumns({"low": F.least("grp_a", "grp_b"), "high": F.greatest("grp_a", "grp_b")}).join(pair, ["low", "high"], "left_semi")
         return components(links.unionAll(self.links(met)))
@@ -360,16 +380,14 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with, of each component, only the document of the least id. Of rows with equal ids one stays; rows with a
     null id stay. What travels is the list of ids to drop, not the documents."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, size=size)
-    ids = scratch(found.select(F.col(id_col).alias("__id"), F.col("component_id").alias("of")).filter("__id is not null"))
-    dropped = scratch(ids.groupBy("__id").agg(F.min("of").alias("of"), F.count("*").alias("n")).filter("of <> __id or n > 1"))
-    gone = F.broadcast(dropped) if dropped.limit(SMALL + 1).count() <= SMALL else dropped
-    marked = docs.join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")
-    once = marked.filter("__id is null").drop(*dropped.columns)
-    again = dropped.filter("of = __id").select("__id")
+    ids = found.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__of")).filter("__id is not null")
+    dropped = scratch(ids.groupBy("__id").agg(F.min("__of").alias("__of"), F.count("*").alias("__n")).filter("__of <> __id or __n > 1"))
+    same = F.col(id_col).cast("long") == F.col("__id")
+    once = docs.join(_small(dropped.select("__id")), same, "left_anti")
+    again = dropped.filter("__of = __id").select("__id")
     if again.isEmpty():
         return once
-    repeated = docs.join(again, F.col(id_col).cast("long") == F.col("__id")).drop("__id")
-    return once.unionAll(repeated.dropDuplicates([id_col]).select(*docs.columns))
+    return once.unionAll(docs.join(_small(again), same, "left_semi").dropDuplicates([id_col]))
 
 
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
