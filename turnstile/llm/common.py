@@ -98,7 +98,7 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
 class WordHashes(dict):
     """64-bit hash of each word seen (as bytes); starts over when it holds ``most`` words."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:

@@ -25,7 +25,7 @@ their own with one name; equal rows are copies. Rows with a null id take part, b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,14 @@ from .common import WordHashes, mix, prefix_hash, read, scratch, span_hash
 SHINGLE, PERCENT = 5, 80
 BANDS = 6
 #: Frequent tokens that the order knows: the most frequent of those met SEEN times in a task's LOOK tokens.
-FREQUENT, SEEN, LOOK = 1 << 17, 4, 4_000_000
+FREQUENT, SEEN, LOOK = 1 << 17, 3, 1_000_000
 #: Rows up to which a list of wanted documents is sent to every task instead of shuffling the documents.
 SMALL = 200_000
 GROUP_WORDS = 200_000
 _SEEDS = [int(x) | 1 for x in np.random.default_rng(11).integers(1 << 62, 1 << 63, BANDS + 2)]
 
 
-def _sets(texts: list[str], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
+def _sets(texts: Iterable[str | None], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
     """The sorted set of each text; texts are hashed in groups."""
     held: list[np.ndarray] = []
 
@@ -72,6 +72,11 @@ def _sets(texts: list[str], hashes: WordHashes, size: int) -> Iterator[np.ndarra
         yield from flush()
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """One at a time: a batch's texts need not be in memory twice."""
+    return (value.as_py() for value in column)
+
+
 def _fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
         return tuple(int(mix(tokens * np.uint64(s)).sum(dtype=np.uint64).view(np.int64)) for s in _SEEDS[:2])
@@ -98,7 +103,7 @@ def _feature_rows(size: int):
 
         for batch in batches:
             n, f1, f2, keys = [], [], [], []
-            for tokens in _sets(batch.column(1).to_pylist(), hashes, size):
+            for tokens in _sets(_texts(batch.column(1)), hashes, size):
                 a, b = _fingerprint(tokens)
                 n.append(len(tokens)), f1.append(a), f2.append(b)
                 with np.errstate(over="ignore"):
@@ -130,7 +135,7 @@ def _prefix_rows(size: int, order):
             if len(seen) > 500_000:
                 seen.clear()
             rows = []
-            for i, tokens in enumerate(_sets(batch.column(1).to_pylist(), hashes, size)):
+            for i, tokens in enumerate(_sets(_texts(batch.column(1)), hashes, size)):
                 if not len(tokens):
                     continue
                 doc = batch.column(0)[i].as_py()
@@ -239,7 +244,7 @@ def _wanted_sets(size: int):
         hashes = WordHashes()
         for batch in batches:
             node, found = [], []
-            for i, tokens in enumerate(_sets(batch.column(3).to_pylist(), hashes, size)):
+            for i, tokens in enumerate(_sets(_texts(batch.column(3)), hashes, size)):
                 if _fingerprint(tokens) == (batch.column(1)[i].as_py(), batch.column(2)[i].as_py()):
                     node.append(batch.column(0)[i].as_py()), found.append(tokens.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(found, pa.binary())], names=["node", "tokens"])
