@@ -81,6 +81,39 @@ def test_join_equals_all_pairs_on_families(spark):
     assert len({c for _, _, c in got}) < len(pairs) - 60
 
 
+def star_of(spark, monkeypatch, links):
+    """The (id, id) links as stars, whatever the min-hashes say."""
+
+    def stars(join):
+        ids = join.nodes.select("node", "id")
+        pairs = spark.createDataFrame(links, "x long, y long")
+        pairs = pairs.join(ids.toDF("a", "x"), "x").join(ids.toDF("b", "y"), "y")
+        return join.links(pairs.select("a", "b"))
+
+    monkeypatch.setattr(jaccard_join.Join, "stars", stars)
+
+
+def test_join_group_without_its_centre(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    versions = [" ".join(words[20 * i : 20 * i + 200]) for i in range(4)]  # only neighbours link
+    pairs = list(enumerate(versions, 10))
+    assert {c for _, _, c in brute_components(pairs)} == {10}
+    star_of(spark, monkeypatch, [(11, 12), (12, 13)])  # 11 stands in the group of 12, which stands in that of 13
+    assert by_row(jaccard_join.jaccard_components(docs_of(spark, pairs)).collect()) == brute_components(pairs)
+
+
+def test_join_equals_all_pairs_on_chains(spark):
+    rnd = random.Random(6)
+    pairs = []
+    for chain in range(12):
+        words = [f"c{chain}w{i}" for i in range(400)]
+        step = rnd.choice([8, 14, 20])
+        pairs += [(100 * chain + k, " ".join(words[step * k : step * k + 200])) for k in range(10)]
+        pairs += [(100 * chain + 50 + k, t) for k, t in enumerate(family(rnd, words[:200], 6, 6))]
+    rnd.shuffle(pairs)
+    assert by_row(jaccard_join.jaccard_components(docs_of(spark, pairs)).collect()) == brute_components(pairs)
+
+
 def test_join_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     pairs = [(1, "one two three four five six"), (1, "one two three four five six"), (None, "one two three four five six"), (None, "quite alone here"), (5, None), (5, ""), (None, None), (7, long), (8, long + " end"), (9, "x"), (9, "y"), (3, "y")]

@@ -11,8 +11,8 @@ component. All links between different sets are found, none is taken on a guess:
    nodes that link share a prefix token. The matrix holds each group's union of prefix tokens, one row
    for each (token, group), dealt by token. Groups that meet on a token are counted: the tokens that two unions share
    bound the overlap of any two members. Pairs below what their members' sizes need never are opened.
-4. *Opening.* For the others first the two centres are compared: one link joins the groups. Groups still apart with more
-   than one member are opened: their members' prefixes are counted likewise, pair by pair, and what passes is compared.
+4. *Opening.* For the others first the two centres are compared: one link joins the groups. Groups still apart that hold
+   other nodes than their centre are opened: their members' prefixes are counted likewise, pair by pair, and what passes is compared.
 
 Comparisons fetch just the documents they need and count shared shingles exactly (64-bit hashes of shingles).
 Large components cost what their stars cost, not their pairs. The list of frequent tokens (``FREQUENT``
@@ -323,15 +323,17 @@ class Join:
         star = self.stars()
         group = scratch(star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("grp")))
         prefixes = self.prefixes(group)
-        # Groups of more than one member: their sizes. The others are their own low and high.
-        wide = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("m")).filter("m > 1").drop("m")
+        # Groups that hold more than the node they are named for: their sizes. The others are their own low and high. A
+        # name may itself stand in another group: what is compared under it is then none of the members.
+        others = F.max(F.col("node") != F.col("grp")).alias("others")
+        wide = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), others).filter("others").drop("others")
         sized = prefixes.join(_small(scratch(wide)), "grp", "left").withColumn("many", F.col("low").isNotNull())
         sized = sized.withColumns({"low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")})
         # Each group's union of prefix tokens: the group stands as its own node.
         open_ = scratch(self.meetings(sized.withColumn("node", F.col("grp"))))
         links = star.unionAll(self.links(open_))
         found = components(links)
-        # Groups with more than one member that are still apart.
+        # Groups with other members than their name that are still apart.
         label = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
         apart = open_.filter("many").join(label("a"), "a", "left").join(label("b"), "b", "left")
         apart = scratch(apart.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
