@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,22 @@ def test_join_equals_all_pairs_on_families(spark):
     assert len({c for _, _, c in got}) < len(pairs) - 60
 
 
+def test_join_group_bound_is_below_every_member_pair():
+    sizes, cases = range(20, 60), []
+    for low in sizes:
+        for high in range(low, min(60, low + 12)):
+            cases += [(low, high, other) for other in sizes if high * 100 >= other * 80 and other * 100 >= low * 80]
+    cases += [(90, 100, 90)]
+    rows = [(t, g, g, a, b, True, 1000) for t, (low, high, other) in enumerate(cases) for g, a, b in ((2 * t, low, high), (2 * t + 1, other, other))]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["token", "grp", "node", "low", "high", "many", "rest"])
+    need = {a // 2: n for out in jaccard_join._meetings(iter([batch])) for a, n in zip(out.column(0).to_pylist(), out.column(2).to_pylist())}
+    assert len(need) == len(cases)
+    for t, (low, high, other) in enumerate(cases):
+        least = min(int(jaccard_join._need(n, other)) for n in range(low, high + 1))
+        assert least - 1 <= need[t] <= least and (low < high or need[t] == least), cases[t]
+
+
 def star_of(spark, monkeypatch, links):
     """The (id, id) links as stars, whatever the min-hashes say."""
 

@@ -183,10 +183,19 @@ def _need(a, b):
     return np.maximum(1, _least_shared(a, b) - np.maximum(-(-PERCENT * a // 100), -(-PERCENT * b // 100)) + 1)
 
 
+def _group_need(low_a, high_a, low_b, high_b):
+    """The same for any members of two groups with sizes from low to high. Without its roundings ``_need`` is concave, so
+    least at a corner, and the rounded value lies above it everywhere; rounded corners may lie above the sizes inside."""
+    corners = [(a, b) for a in (low_a, high_a) for b in (low_b, high_b)]
+    exact = np.min([_need(a, b) for a, b in corners], axis=0)
+    plain = np.min([PERCENT * (100 * (a + b) - (100 + PERCENT) * np.maximum(a, b)) // (100 * (100 + PERCENT)) for a, b in corners], axis=0)
+    return np.where((low_a < high_a) | (low_b < high_b), np.maximum(1, np.minimum(exact, plain + 1)), exact)
+
+
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order (token, node) to the pairs of nodes of different groups on each token whose sizes may link:
     with the tokens that they need to share, and whether this one may be their first. A group's members have sizes from
-    low to high; ``_need`` is concave between, so its least value lies at a corner."""
+    low to high."""
 
     def pairs(rows: list[np.ndarray]):
         token, group, node, low, high, many, rest = rows
@@ -201,7 +210,7 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 j = np.arange(i + 1, a + n)
                 j = j[(group[j] != group[i]) & (high[j] * 100 >= low[i] * PERCENT) & (high[i] * 100 >= low[j] * PERCENT)]
                 if len(j):
-                    need = np.min([_need(x, y) for x in (low[i], high[i]) for y in (low[j], high[j])], axis=0)
+                    need = _group_need(low[i], high[i], low[j], high[j])
                     seed = np.minimum(rest[i], rest[j]) >= _least_shared(low[i], low[j])
                     yield np.full(len(j), node[i]), node[j], need, seed, many[i] | many[j]
 
