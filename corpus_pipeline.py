@@ -2,13 +2,14 @@
 
 1. quality: documents that the classifier scores below its threshold go (trained on ``labels`` outside the
    held-out part, whose documents are scored like all others).
-2. near_duplicates: of each component of the n-gram Jaccard join the document with the least id stays.
+2. near_duplicates: of each component of the n-gram Jaccard join one document with the least id stays.
 3. decontamination: documents that hold a benchmark passage go.
 4. personal_data: spans of personal data become ``<kind>``; ``n_chars`` follows the new text.
 5. encoding: each text as byte-level BPE ids, decoded again; the columns of ``documents`` and the ids' digests.
 
 All but the last return the columns of their input. Rows with a null text are scored, kept and encoded as empty
-texts; of rows with equal ids one stays, rows with a null id all stay.
+texts; of rows with equal ids and texts one stays, rows with equal ids and unlike texts are documents of their own, and
+rows with a null id all stay.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_row_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

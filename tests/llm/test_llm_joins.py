@@ -142,6 +142,20 @@ def test_join_odd_rows(spark):
     assert jaccard_join.one_of_each(docs_of(spark, pairs)).columns == docs_of(spark, pairs).columns
 
 
+def test_one_row_of_each_with_repeated_ids(spark):
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join([*words, "end"])
+    pairs = [(9, "x"), (9, "y"), (3, "y"), (5, None), (5, ""), (5, ""), (6, " "), (None, "y"), (None, None), (7, "Z"), (7, "z"), (8, " ".join(words)), (8, near), (8, "of its own"), (4, near.upper()), (2, "p q"), (1, "p  q"), (2, "r"), (2, "r")]
+    rnd.shuffle(pairs)
+    for frame in (docs_of(spark, pairs), docs_of(spark, pairs).repartition(3)):
+        out = corpus_pipeline.near_duplicates_stage(spark, frame, SF)
+        assert out.columns == frame.columns
+        got = by_row((r.doc_id, r.text and r.text.lower().split()) for r in out.collect())
+        assert got == by_row([(9, ["x"]), (3, ["y"]), (5, None), (5, ""), (6, []), (None, ["y"]), (None, None), (7, ["z"]), (8, "of its own".split()), (4, near.split()), (1, ["p", "q"]), (2, ["r"])])
+    assert corpus_pipeline.near_duplicates_stage(spark, docs_of(spark, []), SF).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60, 100)]
     star = [(7, i) for i in range(8, 40)]

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WordHashes, mix, prefix_hash, read, scratch, span_hash
 
@@ -327,6 +328,10 @@ class Join:
         met = met.agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("need").alias("need"), F.max("many").alias("many"))
         return met.filter("seed and c >= need").select("a", "b", "many")
 
+    def named(self) -> DataFrame:
+        """The nodes with the component of each, itself where nothing links with it."""
+        return self.nodes.join(self.components(), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
     def components(self) -> DataFrame:
         """(node, component) for the nodes that have a link."""
         star = self.stars()
@@ -383,9 +388,8 @@ def components(links: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """(id, n_shingles, component_id) for each row."""
     join = Join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), size)
-    found = join.components()
+    named = join.named()
     # A component's id is its least document id.
-    named = join.nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     by_id = named.groupBy("component").agg(F.min("id").alias("component_id"))
     of_set = scratch(named.join(by_id, "component").select("n", "f1", "f2", "component_id"))
     out = join.docs.join(of_set, ["n", "f1", "f2"], "left")
@@ -393,8 +397,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``docs`` with, of each component, only the document of the least id. Of rows with equal ids one stays; rows with a
-    null id stay. What travels is the list of ids to drop, not the documents."""
+    """``docs`` with, of each component, only the document of the least id. Of rows with equal ids one stays, so this is for
+    ids that name one text each (``one_row_of_each`` for others); rows with a null id stay. What travels is the list of ids to drop, not the documents."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, size=size)
     ids = found.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__of")).filter("__id is not null")
     dropped = scratch(ids.groupBy("__id").agg(F.min("__of").alias("__of"), F.count("*").alias("__n")).filter("__of <> __id or __n > 1"))
@@ -406,5 +410,46 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return once.unionAll(docs.join(_small(again), same, "left_semi").dropDuplicates([id_col]))
 
 
+def _marked(size: int, at: int):
+    """Rows with the text in column ``at``, and the size and fingerprint of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            rows = [(len(tokens), *_fingerprint(tokens)) for tokens in _sets(_texts(batch.column(at)), hashes, size)]
+            marks = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *marks], names=[*batch.schema.names, "__n", "__f1", "__f2"])
+
+    return run
+
+
+def one_row_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """``docs`` with, of each component, only one row of the least (id, set). Rows with a null id stay, and rows without
+    words, whose sets link with nothing; of those with equal ids and texts one. What travels is the list of ids of which
+    a row goes, and only the documents whose id stands in several rows are looked at again."""
+    join = Join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), size)
+    named = join.named()
+    first = F.min(F.struct("id", "n", "f1", "f2")).alias("first")
+    least = named.filter("id is not null").groupBy("component").agg(first)
+    same_set = (F.col("n") == F.col("first.n")) & (F.col("f1") == F.col("first.f1")) & (F.col("f2") == F.col("first.f2"))
+    of_set = scratch(named.join(least, "component").select("n", "f1", "f2", F.when(same_set, F.col("first.id")).alias("first")))
+    stays = (F.col("n") == 0) | F.coalesce(F.col("id") == F.col("first"), F.lit(False))
+    rows = join.docs.filter("id is not null").join(of_set, ["n", "f1", "f2"], "left").select(F.col("id").alias("__id"), "n", "f1", "f2", stays.alias("stays"))
+    dropped = scratch(rows.groupBy("__id").agg(F.max("stays").alias("some"), F.count("*").alias("c")).filter("not some or c > 1"))
+    same = F.col(id_col).cast("long") == F.col("__id")
+    once = docs.join(_small(dropped.select("__id")), same, "left_anti")
+    again = dropped.filter("some").select("__id")
+    if again.isEmpty():
+        return once
+    again = _small(again)
+    sets = rows.filter("stays").join(again, "__id", "left_semi").select("__id", "n", "f1", "f2").distinct().select(F.col("__id").alias("__of"), *(F.col(c).alias(f"__of_{c}") for c in ("n", "f1", "f2")))
+    schema = T.StructType([*docs.schema.fields, T.StructField("__n", T.IntegerType()), T.StructField("__f1", T.LongType()), T.StructField("__f2", T.LongType())])
+    marked = docs.join(again, same, "left_semi").mapInArrow(_marked(size, docs.columns.index(text_col)), schema)
+    marked = marked.withColumns({"__id": F.col(id_col).cast("long"), "__text": F.when(F.col("__n") == 0, F.col(text_col))})
+    kept = [F.col("__id") == F.col("__of"), *(F.col(f"__{c}") == F.col(f"__of_{c}") for c in ("n", "f1", "f2"))]
+    marked = marked.join(_small(scratch(sets)), kept, "left_semi")
+    return once.unionAll(marked.dropDuplicates(["__id", "__n", "__f1", "__f2", "__text"]).select(*docs.columns))
+
+
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
