@@ -279,6 +279,22 @@ def test_main_text_of_odd_pages():
         assert html_text.main_text(empty) == ""
 
 
+def test_main_text_of_split_nested_and_bare_articles():
+    long, part = "many words of the text, one after the other, " * 30, "the second part of the text has words too " * 8
+    want = [" ".join(t.split()) for t in ("Heading", "A short lead.", long, part, "The end.")]
+    for tag in ("div", "section", "table><tr><td"):
+        end = "td></tr></table" if "td" in tag else tag
+        split = f"<h1>Heading</h1><p>A short lead.</p><{tag}><p>{long}</p></{end}><{tag}><p>{part}</p></{end}><p>The end.</p>"
+        for page in ("<body><article>{}</article></body>", "<article>{}</article>", "<body><main><div>{}</div></main></body>", "<main><article>{}</article></main>", "<body><article><article>{}</article></article></body>", "<body>{}</body>", "{}"):
+            assert html_text.main_text(page.format(split)).split("\n\n") == want, (tag, page)
+    furniture = "<body><div><p>Home</p></div><div><article>{}</article></div><div><p>Imprint</p></div></body>"
+    assert html_text.main_text(furniture.format(split)).split("\n\n") == want
+    bare = f"<h1>Heading</h1><p>A short lead.</p><p>{long}</p><p>{part}</p><p>x</p><p>y</p><p>The end.</p>"
+    assert html_text.main_text(bare).split("\n\n") == html_text.main_text(f"<body>{bare}").split("\n\n") == [*want[:-1], "x", "y", "The end."]
+    both = html_text.main_text(f"<body><article><p>{long}</p></article><article><p>{part}</p></article></body>")
+    assert both.split("\n\n") == want[2:4]
+
+
 def test_op9_articles_of_the_whole_table(spark):
     import html
 

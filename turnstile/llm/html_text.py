@@ -4,9 +4,9 @@ The standard library's event parser is fed the page; no tree is built. Events ma
 one block, the tags met in it and the container it lies in. Boilerplate elements (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, reader comments: by element, role or class word) are left out
 as they stream by. Each line's text-to-tag ratio is smoothed with a Gaussian; lines at or above the threshold
-(``SPREAD`` standard deviations, at most the largest ratio) form the content cluster. The content region is the deepest
-container with at least ``SHARE`` of the cluster's characters; where that is the whole page, the lines from
-the first to the last of the cluster. Every line of the region is kept, short ones too.
+(``SPREAD`` standard deviations, at most the largest ratio) form the content cluster. The content region is the outermost
+article or main with at least ``SHARE`` of the cluster's characters, where no other holds any; else the deepest container with
+the whole cluster, which may be the page. Every line of the region is kept, short ones too.
 
 Null and empty pages give an empty text, as do pages without content. Truncated or badly nested markup is
 read as far as it goes. One row out per row in; repeated rows, null ids and further columns pass.
@@ -15,6 +15,7 @@ read as far as it goes. One row out per row in; repeated rows, null ids and furt
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -30,6 +31,7 @@ SPREAD, SIGMA, SHARE = 1.0, 1.0, 0.75
 # Element names of HTML and words that sites use for page furniture.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body div main section td".split())
+MAIN = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("aside audio button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title video".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -41,7 +43,8 @@ _ODD_DECLARATION = re.compile(r"<!(?!--|doctype)[^>]*>", re.I)
 
 
 class Lines(HTMLParser):
-    """Collects ``[text, tags, container path]`` for each block outside boilerplate."""
+    """Collects ``[text, tags, container path]`` for each block outside boilerplate. A path holds the numbers of the open
+    containers; those of ``MAIN`` are negative."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -101,7 +104,7 @@ class Lines(HTMLParser):
                 self.close_to(len(self.open) - 1)
             if tag in CONTAINERS:
                 self.made += 1
-                self.path.append((len(self.open), self.made))
+                self.path.append((len(self.open), -self.made if tag in MAIN else self.made))
             if tag not in VOID:
                 self.open.append(tag)
         elif tag == "br":
@@ -162,6 +165,20 @@ def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+def content_region(cluster: list[tuple[int, tuple[int, ...]]]) -> tuple[int, ...]:
+    """The path of the region, from the (characters, path) of the cluster's lines."""
+    held: dict[tuple[int, ...], int] = {}
+    for n, path in cluster:
+        depth = next((d for d, number in enumerate(path, 1) if number < 0), 0)
+        if depth:
+            held[path[:depth]] = held.get(path[:depth], 0) + n
+    if len(held) == 1:
+        ((region, n),) = held.items()
+        if n >= SHARE * sum(n for n, _ in cluster):
+            return region
+    return tuple(os.path.commonprefix([path for _, path in cluster]))
+
+
 def main_text(html: str | None) -> str:
     lines = page_lines(html or "")
     if not lines:
@@ -171,23 +188,8 @@ def main_text(html: str | None) -> str:
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
     threshold = min(max(ratio), SPREAD * spread)
     content = [i for i, r in enumerate(ratio) if r >= threshold]
-    total = sum(len(lines[i][0]) for i in content)
-    depth, region = 0, ()
-    while True:  # into the child that holds most of the cluster
-        held: dict[int, int] = {}
-        for i in content:
-            path = lines[i][2]
-            if path[:depth] == region and len(path) > depth:
-                held[path[depth]] = held.get(path[depth], 0) + len(lines[i][0])
-        best = max(held, key=held.__getitem__, default=None)
-        if best is None or held[best] < SHARE * total:
-            break
-        region += (best,)
-        depth += 1
-    if depth <= 1:  # nothing but the page itself: the span of the cluster
-        kept = range(content[0], content[-1] + 1)
-    else:
-        kept = [i for i, line in enumerate(lines) if line[2][:depth] == region]
+    region = content_region([(len(lines[i][0]), lines[i][2]) for i in content])
+    kept = [i for i, line in enumerate(lines) if line[2][: len(region)] == region]
     return "\n\n".join(lines[i][0] for i in kept)
 
 
