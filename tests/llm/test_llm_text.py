@@ -295,6 +295,15 @@ def test_main_text_of_split_nested_and_bare_articles():
     assert both.split("\n\n") == want[2:4]
 
 
+def test_main_text_keeps_article_elements_with_furniture_words():
+    inside = "<h2 id='related-work'>Related work</h2><section id='cookies'><p>Cookies are small files.</p></section><div id='tags'>Tags of a text.</div><p class='header'>A header is told of.</p><table><tr class='header'><th>Name</th></tr></table><h3 id=share class=navigation>Share</h3>"
+    want = ["Related work", "Cookies are small files.", "Tags of a text.", "A header is told of.", "Name", "Share", "The end."]
+    for tag in ("article", "main"):
+        furniture = "<div class='share-buttons'>Share this</div><ul class=tags><li>tag</ul><div role=navigation>Next</div><nav>Menu</nav>"
+        page = f"<body><div id=sidebar>Side</div><p class=header>Site</p><{tag}>{inside}{furniture}<p>The end.</p></{tag}><section id=comments>Nice</section></body>"
+        assert html_text.main_text(page).split("\n\n") == want
+
+
 def test_op9_articles_of_the_whole_table(spark):
     import html
 

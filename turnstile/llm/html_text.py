@@ -3,7 +3,8 @@
 The standard library's event parser is fed the page; no tree is built. Events make *lines*: the text of
 one block, the tags met in it and the container it lies in. Boilerplate elements (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, reader comments: by element, role or class word) are left out
-as they stream by. Each line's text-to-tag ratio is smoothed with a Gaussian; lines at or above the threshold
+as they stream by. Inside article and main ids do not count, for those of headings and sections are made of their text, nor do
+the classes of elements that hold text themselves. Each line's text-to-tag ratio is smoothed with a Gaussian; lines at or above the threshold
 (``SPREAD`` standard deviations, at most the largest ratio) form the content cluster. The content region is the outermost
 article or main with at least ``SHARE`` of the cluster's characters, where no other holds any; else the deepest container with
 the whole cluster, which may be the page. Every line of the region is kept, short ones too.
@@ -38,6 +39,8 @@ DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo di
 DROPPED_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
+#: Elements that hold text or table rows: in an article no class word drops them.
+TEXTS = frozenset("blockquote caption dd dt figcaption figure h1 h2 h3 h4 h5 h6 li p pre table tbody td tfoot th thead tr".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 _ODD_DECLARATION = re.compile(r"<!(?!--|doctype)[^>]*>", re.I)
 
@@ -69,11 +72,13 @@ class Lines(HTMLParser):
             return True
         if tag in ("article", "main", "body", "html"):
             return False
+        within = not MAIN.isdisjoint(self.open)
         if tag == "header":
-            return not any(t in ("article", "main") for t in self.open)
+            return not within
+        words = ("class", "id") if not within else () if tag in TEXTS else ("class",)
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
+            if name in words and not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
                 return True
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in DROPPED_ROLES:
                 return True
