@@ -215,6 +215,26 @@ def test_leaks_and_their_places(spark, none):
     assert decontaminate.without_leaks(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_one_part_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    sent, items = [], [(i, f"the words of item {i} stand here in a row {i * i}") for i in range(12)]
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in items[:5]] + [(99, "a text of its own")], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = by_row(decontaminate.find_leaks(docs, benchmark).collect())
+    send = spark.sparkContext.broadcast
+
+    def held(value):
+        assert not any(os.path.exists(b._path) for b in sent)  # destroy() removes it
+        sent.append(send(value))
+        return sent[-1]
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", held)
+    leaks = decontaminate.find_leaks(docs, benchmark, part_chars=100)
+    assert len(sent) > 2 and by_row(leaks.collect()) == want and len(want) >= 5
+    sent.clear()
+    clean = decontaminate.without_leaks(docs, benchmark, part_chars=100)
+    assert len(sent) > 2 and [r.doc_id for r in clean.collect()] == [99]
+
+
 def test_op5_finds_every_verbatim_item(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()

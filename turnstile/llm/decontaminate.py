@@ -8,8 +8,8 @@ least distance and the first place that has it, in code points of the original t
 
 Null and empty texts hold nothing; items without a word are in nothing. Rows with equal item ids count as one
 item (best match). Repeated documents and null ids keep their rows; further columns pass unseen. The benchmark
-goes to the tasks in parts of about ``PART_CHARS`` characters, whatever its size: each further part is one more
-pass over the documents.
+goes to the driver and the tasks in parts of about ``PART_CHARS`` characters, whatever its size: each further part is one
+more pass over the documents, whose result is written before the next part is collected.
 """
 
 from __future__ import annotations
@@ -152,15 +152,21 @@ def original_places(text: str, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def _scans(spark, benchmark: DataFrame, item_id: str, item_text: str, rate: float, part_chars: int):
-    """One scanning function for each part of the benchmark; a part's items reach the driver and the tasks together,
-    about ``part_chars`` characters of them."""
+    """(whether it is the last, its scanning function) for each part of the benchmark; a part's items reach the driver and
+    the tasks together, about ``part_chars`` characters of them. A part is released when the next is asked for: what uses
+    it must be written by then."""
     items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).filter("text is not null").distinct()
     leak = T.StructType([T.StructField("item_id", items.schema["id"].dataType), T.StructField("distance", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // part_chars))
     for part in range(parts):
         rows = items.filter(F.coalesce(F.pmod(F.xxhash64("id"), F.lit(parts)), F.lit(0)) == part).collect()
-        yield _scanner(spark.sparkContext.broadcast([(r.id, normal(r.text)) for r in rows]), uuid.uuid4().hex, rate, T.ArrayType(leak))
+        sent = spark.sparkContext.broadcast([(r.id, normal(r.text)) for r in rows])
+        del rows
+        yield part == parts - 1, _scanner(sent, uuid.uuid4().hex, rate, T.ArrayType(leak))
+        if part < parts - 1:
+            sent.destroy()
+            del sent
 
 
 _MATCHER: dict[str, Matcher] = {}  # the last one of this Python worker
@@ -188,15 +194,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     """(id, item_id, distance, start, end) for each item in each row of ``docs``. No shuffle of documents."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     scans = _scans(docs.sparkSession, benchmark, item_id, item_text, rate, part_chars)
-    found = functools.reduce(DataFrame.unionAll, (rows.select("id", F.explode(scan(F.col("text"))).alias("l")) for scan in scans))
+    found = []
+    for last, scan in scans:
+        leaks = rows.select("id", F.explode(scan(F.col("text"))).alias("l"))
+        found.append(leaks if last else scratch(leaks))
+        del scan
+    found = functools.reduce(DataFrame.unionAll, found)
     return found.select(F.col("id").alias(id_col), "l.item_id", "l.distance", "l.start", "l.end")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = RATE, part_chars: int = PART_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item. Between parts of the benchmark the rows are written, so
     that a task holds one part at a time."""
-    for i, scan in enumerate(_scans(docs.sparkSession, benchmark, item_id, item_text, rate, part_chars)):
-        docs = (scratch(docs) if i else docs).filter(F.size(scan(F.col(text_col))) == 0)
+    for last, scan in _scans(docs.sparkSession, benchmark, item_id, item_text, rate, part_chars):
+        docs = docs.filter(F.size(scan(F.col(text_col))) == 0)
+        docs = docs if last else scratch(docs)
+        del scan
     return docs
 
 
