@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontaminate, hard_negatives, html_text, jaccard_join, periodic_runs, pii, quality, substring_dedup, token_count, topk, url_reputation
+from . import bpe, decontaminate, hard_negatives, html_text, jaccard_join, periodic_runs, pii, quality, substring_dedup, suffix_dedup, token_count, topk, url_reputation
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_html_text": html_text.op9_html_text,
     "op10_url_reputation": url_reputation.op10_url_reputation,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
