@@ -4,7 +4,8 @@
     python -m turnstile produce       --root LAKE --events events.json [--lines] [--kafka host:port]
     python -m turnstile stream        --root LAKE [--kafka host:port] [--max-offsets N] [--upsert]
     python -m turnstile full          --root LAKE [--as-of "2026-03-10 00:00:00"] [--show]
-    python -m turnstile daily         --root LAKE [--show]
+    python -m turnstile daily         --root LAKE [--show] [--day 2026-03-05]
+    python -m turnstile increment     --root LAKE [--as-of ...] [--max-files N]
     python -m turnstile analytics     --root LAKE [--as-of ...] [--days 30] [--show]
 
 On a cluster run it through spark-submit; the session takes the cluster's settings.
@@ -13,6 +14,7 @@ On a cluster run it through spark-submit; the session takes the cluster's settin
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from turnstile.config import Settings
 from turnstile.session import build_session
@@ -20,7 +22,7 @@ from turnstile.session import build_session
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="turnstile")
-    p.add_argument("command", choices=["land-students", "produce", "stream", "full", "daily", "analytics"])
+    p.add_argument("command", choices=["land-students", "produce", "stream", "full", "daily", "increment", "analytics"])
     p.add_argument("--root", required=True, help="folder (shared storage) holding every table")
     p.add_argument("--csv", help="student file for land-students")
     p.add_argument("--events", help="JSON-array event file for produce")
@@ -31,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--lines", action="store_true", help="produce: the event file is JSON Lines")
     p.add_argument("--max-offsets", type=int, default=1_000_000, help="stream: offsets a micro-batch takes at most")
     p.add_argument("--upsert", action="store_true", help="stream: also keep the graph's event tables up to date")
+    p.add_argument("--day", type=dt.date.fromisoformat, default=None, help="daily: the day to run (again), instead of the latest")
+    p.add_argument("--max-files", type=int, default=None, help="increment: curated files that a micro-batch takes at most")
     p.add_argument("--master", default=None)
     return p
 
@@ -58,7 +62,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "full":
         jobs.run_full_batch(spark, settings, as_of=args.as_of, show=args.show)
     elif args.command == "daily":
-        jobs.run_daily_batch(spark, settings, show=args.show)
+        jobs.run_daily_batch(spark, settings, show=args.show, day=args.day)
+    elif args.command == "increment":
+        from turnstile.plans.increments import run_increment
+
+        run_increment(spark, settings, as_of=args.as_of, max_files=args.max_files)
     elif args.command == "analytics":
         jobs.run_analytics(spark, settings, args.as_of, args.days, show=args.show)
 

@@ -19,6 +19,8 @@ class Settings:
     paths: dict[str, str] = field(default_factory=dict)
     # Most Kafka offsets a micro-batch takes (None: the whole backlog at once).
     max_offsets_per_trigger: int | None = 1_000_000
+    # Buckets of the id indexes; fixed for the life of a lake. About (bytes of all ids) / 256 MB.
+    key_buckets: int = 256
 
     def path(self, name: str) -> str:
         return self.paths.get(name) or os.path.join(self.root, name)
@@ -40,6 +42,34 @@ class Settings:
     def clean_daily(self) -> str:
         return self.path("clean_daily")
 
+    @property
+    def clean_keys(self) -> str:
+        """Which day holds each id's kept copy."""
+        return self.path("clean_keys")
+
+    @property
+    def clean_pending(self) -> str:
+        """Rows stamped later than the run that saw them."""
+        return self.path("clean_pending")
+
+    @property
+    def stays(self) -> str:
+        """Stays by the day on which they end."""
+        return self.path("stays")
+
+    @property
+    def open_entries(self) -> str:
+        """Entries open at the end of each day."""
+        return self.path("open_entries")
+
+    @property
+    def student_numbers(self) -> str:
+        return self.path("student_numbers")
+
+    @property
+    def visits_daily(self) -> str:
+        return self.path("visits_daily")
+
     @property
     def students(self) -> str:
         return self.path("students")

@@ -17,14 +17,14 @@ from turnstile.schema import ENTRY, LOCAL_OFFSET_HOURS, MAIN_GATE, MAIN_HALL, RO
 TOP_ROOMS = 5
 
 
-def _known(students: DataFrame) -> DataFrame:
+def known_students(students: DataFrame) -> DataFrame:
     """Students with both a major and a year (the only ones the questions group by)."""
     return students.filter(F.col("major").isNotNull() & F.col("year_of_study").isNotNull()).select(
         "student_id", "major", F.col("year_of_study").alias("year")
     )
 
 
-def _main_entries(clean: DataFrame) -> DataFrame:
+def main_entries(clean: DataFrame) -> DataFrame:
     return clean.filter((F.col("gate_type") == MAIN_GATE) & (F.col("event_type") == ENTRY))
 
 
@@ -46,7 +46,7 @@ def room_popularity_by_group(entered: DataFrame, students: DataFrame, count_mode
         raise ValueError(f"count_mode must be 'students' or 'visits', not {count_mode!r}")
     return (
         entered.filter(F.col("location") != MAIN_HALL)
-        .join(_known(students), "student_id")
+        .join(known_students(students), "student_id")
         .groupBy("major", "year", F.col("location").alias("room"))
         .agg(F.sum("n").alias("visits"))
     )
@@ -89,7 +89,7 @@ def _period_entries(
     cutoff = ts_cutoff(clean, "timestamp", as_of, trailing_days)
     dated = local_time("timestamp", offset_hours) if local_dates else F.col("timestamp")
     return (
-        _main_entries(clean)
+        main_entries(clean)
         .filter(F.col("timestamp").isNotNull() & (F.col("timestamp") >= cutoff))
         .groupBy(
             F.to_date(dated).alias("visit_date"),
@@ -108,7 +108,7 @@ def visits_by_period_major_year(
     students form the (null, null) group."""
     per_student = _period_entries(clean, as_of, trailing_days, offset_hours, local_dates)
     return (
-        per_student.join(_known(students), "student_id", "left")
+        per_student.join(known_students(students), "student_id", "left")
         .groupBy("visit_date", "time_period", "major", "year")
         .agg(F.sum("n").alias("visits"), F.count("student_id").alias("unique_students"))
     )
@@ -119,16 +119,19 @@ def daily_visits_by_period(
     offset_hours: int = LOCAL_OFFSET_HOURS, local_dates: bool = False,
 ) -> DataFrame:
     """Per (date, period): entries, distinct students, the major with most entries (the
-    unknown-student group may win) and that major's year with most entries.
+    unknown-student group may win) and that major's year with most entries."""
+    return leading_groups(visits_by_period_major_year(clean, students, as_of, trailing_days, offset_hours, local_dates))
+
+
+def leading_groups(groups: DataFrame) -> DataFrame:
+    """Groups (date, period, major, year, visits, unique_students) to one row per (date, period).
 
     Ties: smaller major / year wins, null last. Each student sits in exactly one
     (major, year) group, so the cell totals are sums over the groups: the whole question is
     one small aggregate and windows over it, with a single exchange on the cell.
     """
     cell = ["visit_date", "time_period"]
-    groups = visits_by_period_major_year(
-        clean, students, as_of, trailing_days, offset_hours, local_dates
-    ).repartition(*cell)
+    groups = groups.repartition(*cell)
     in_cell = Window.partitionBy(*cell)
     totals = groups.select(
         "*",
@@ -163,12 +166,17 @@ def visit_summary(clean: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> D
     (null instead of an error when a count is zero)."""
     # Counted per student and day first: the distinct counts then see that small table only.
     day = F.to_date(local_time("timestamp", offset_hours)).alias("day")
-    daily = _main_entries(clean).groupBy("student_id", day).agg(F.count(F.lit(1)).alias("n"))
+    daily = main_entries(clean).groupBy("student_id", day).agg(F.count(F.lit(1)).alias("n"))
     counts = daily.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_entries"),
         F.countDistinct("student_id").alias("unique_students"),
         F.countDistinct("day").alias("unique_days"),
     )
+    return summary_ratios(counts)
+
+
+def summary_ratios(counts: DataFrame) -> DataFrame:
+    """(total_entries, unique_students, unique_days) with their ratios."""
     total = F.col("total_entries").cast("double")
     per_student = F.try_divide(total, F.col("unique_students").cast("double"))
     return counts.select(
@@ -186,7 +194,7 @@ def visit_summary(clean: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> D
 def peak_hours(clean: DataFrame, top: int = 5, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     """The ``top`` local hours by main-gate entries (ties: earlier hour), with a clock label."""
     return (
-        _main_entries(clean)
+        main_entries(clean)
         .groupBy(local_hour("timestamp", offset_hours).alias("local_hour"))
         .agg(F.count(F.lit(1)).alias("visits"))
         .orderBy(F.col("visits").desc(), F.col("local_hour").asc_nulls_last())

@@ -9,7 +9,7 @@ from turnstile.functions import record_date, ts_cutoff
 
 # Full order used to pick one copy of a duplicated event id: earliest copy first, and
 # every remaining column as a tie-break, so the choice is the same on every run.
-_COPY_ORDER = ("timestamp", "student_id", "event_type", "gate_type", "location")
+COPY_ORDER = ("timestamp", "student_id", "event_type", "gate_type", "location")
 
 
 def with_record_date(df: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def dedupe_events(df: DataFrame, add_record_date: bool = False) -> DataFrame:
         out = [*cols, "record_date"]
     else:
         extra, out = [], cols
-    order = [F.col(c).asc_nulls_last() for c in _COPY_ORDER if c in cols]
+    order = [F.col(c).asc_nulls_last() for c in COPY_ORDER if c in cols]
     w = Window.partitionBy("event_id").orderBy(*order)
     ranked = df.select("*", *extra, F.row_number().over(w).alias("_copy"))
     return ranked.filter(F.col("_copy") == 1).select(*out)

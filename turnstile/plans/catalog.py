@@ -9,7 +9,9 @@ Q1/Q2 run), and the hot view where one student holds a third of all events.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,29 @@ from pyspark.sql import functions as F
 from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
+from turnstile.operators.carry import closed_stays, open_entries
+from turnstile.operators.increments import changed_copies, due, located, redone
 from turnstile.operators.ingest import JSON_WRITE_OPTIONS, parse_events, route_events, to_json_value
-from turnstile.operators.quality import clean_events_daily, clean_events_full, latest_day, valid_events, with_record_date
+from turnstile.operators.keys import index_rows, unseen
+from turnstile.operators.quality import (
+    clean_events_daily,
+    clean_events_full,
+    dedupe_events,
+    latest_day,
+    valid_events,
+    with_record_date,
+)
+from turnstile.operators.visitors import (
+    daily_visits_from_daily,
+    number_students,
+    visit_summary_from_daily,
+    visits_by_period_from_daily,
+    visits_daily,
+)
 from turnstile.plans.oracle import (
     AS_OF_CLEAN,
     AS_OF_GRAPH,
+    COPY_ORDER_SQL,
     Q2_CUTOFF,
     TRAILING_DAYS,
     clean_daily_cte,
@@ -32,7 +52,10 @@ from turnstile.plans.oracle import (
     with_views,
 )
 from turnstile.schema import EVENT_COLUMNS, GATE_EVENT_NTZ
+from turnstile.session import scratch_folder
+from turnstile.sinks import write_table
 from turnstile.sources import fixtures as fx
+from turnstile.sources import read_curated
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -177,6 +200,55 @@ def _durations_sql(base):
     return with_views(base + [("durations", durations_cte("clean"))], _DURATIONS)
 
 
+# -- increments -----------------------------------------------------------------------------
+
+def q_merge_events(spark, sf):
+    """Two micro-batches merged by id: the copy that comes first stays, whatever its day."""
+    arrivals = valid_events(fx.gate_events_arrivals(spark, sf), check_time=False)
+    first, second = (with_record_date(dedupe_events(arrivals.filter(F.col("arrival") == i))) for i in (0, 1))
+    return first.unionByName(unseen(second, index_rows(first, "1"))).drop("arrival")
+
+
+SQL_MERGE_EVENTS = with_views([], f"""
+SELECT event_id, student_id, event_type, gate_type, location, timestamp, CAST(timestamp AS DATE) AS record_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, {COPY_ORDER_SQL}) AS _copy
+  FROM gate_events_arrivals WHERE student_id IS NOT NULL) WHERE _copy = 1""")
+
+
+def q_clean_events_increments(spark, sf):
+    """History, then an increment with late copies and with originals of copies that came before: as one run over both."""
+    now, _ = due(fx.gate_events_arrivals(spark, sf), AS_OF_CLEAN)
+    history, later = (now.filter(F.col("arrival") == i).drop("arrival") for i in (0, 1))
+    clean = dedupe_events(history)
+    changed = changed_copies(located(later, index_rows(clean, "1")), clean)
+    return redone(clean, changed)
+
+
+DAY_CUTS = ("2024-01-01", "2024-01-11", "2024-01-12", "2024-01-21", "2024-02-01")
+
+
+def q_room_durations_increments(spark, sf):
+    """Ranges of days paired one after the other, each with the entries still open before it."""
+    clean, before, parts = _clean_dense(spark, sf), None, []
+    for first, last in zip(DAY_CUTS, DAY_CUTS[1:]):
+        days = clean.filter((F.col("record_date") >= F.lit(first).cast("date")) & (F.col("record_date") < F.lit(last).cast("date")))
+        parts.append(closed_stays(days, before).drop("closed_date"))
+        before = open_entries(days, before, [dt.date.fromisoformat(last) - dt.timedelta(days=1)])
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _visits_daily(spark, sf):
+    clean, students = _clean_plain(spark, sf), _students(spark, sf)
+    return visits_daily(clean, students, number_students(clean))
+
+
+def q_curated_table(spark, sf):
+    """The curated events written by gate, as the original's stream does, and read back through ``read_curated``."""
+    path = scratch_folder(spark)
+    write_table(fx.gate_events(spark, sf), path, partition_by=("gate_type",))
+    return with_record_date(read_curated(spark, path))
+
+
 # -- graph ----------------------------------------------------------------------------------
 
 _V_STUDENT = """
@@ -321,6 +393,11 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         lambda s, sf: R.room_durations_full(_clean_hot(s, sf)),
         _durations_sql(CTE_HOT),
     ),
+    # increments: merge by id, redone days, stays across runs, mergeable distinct counts
+    "merge_events": (q_merge_events, SQL_MERGE_EVENTS),
+    "clean_events_increments": (q_clean_events_increments, SQL_CLEAN_FULL),
+    "room_durations_increments": (q_room_durations_increments, _durations_sql(CTE_DENSE)),
+    "curated_table": (q_curated_table, SQL_CURATED_EVENTS),
     # student dimension and graph tables
     "students_dim": (_students, with_views([], "SELECT student_id, major, year_of_study, study_level FROM students")),
     "v_student": (
@@ -403,6 +480,15 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {
         with_views(CTE_PLAIN + [KNOWN, _PER_STUDENT], _Q2_GROUPS),
     ),
     "visit_summary": (lambda s, sf: A.visit_summary(_clean_plain(s, sf)), with_views(CTE_PLAIN, _Q3)),
+    "visits_by_period_bitmaps": (
+        lambda s, sf: visits_by_period_from_daily(_visits_daily(s, sf), _clean_plain(s, sf), _students(s, sf), **_q2_args()),
+        with_views(CTE_PLAIN + [KNOWN, _PER_STUDENT], _Q2_GROUPS),
+    ),
+    "daily_visits_by_period_bitmaps": (
+        lambda s, sf: daily_visits_from_daily(_visits_daily(s, sf), _clean_plain(s, sf), _students(s, sf), **_q2_args()),
+        with_views(CTE_PLAIN + [KNOWN, _PER_STUDENT], _Q2),
+    ),
+    "visit_summary_bitmaps": (lambda s, sf: visit_summary_from_daily(_visits_daily(s, sf)), with_views(CTE_PLAIN, _Q3)),
     "peak_hours": (lambda s, sf: A.peak_hours(_clean_plain(s, sf)), with_views(CTE_PLAIN, _Q4)),
     "popular_rooms": (lambda s, sf: A.popular_rooms(_clean_plain(s, sf)), with_views(CTE_PLAIN, _Q5)),
 }

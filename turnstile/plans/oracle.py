@@ -27,6 +27,13 @@ VIEWS = {
          event_type, gate_type, location, timestamp FROM gate_events
   UNION ALL
   SELECT event_id, student_id, event_type, gate_type, location, timestamp + INTERVAL 1 MINUTE
+  FROM gate_events WHERE CAST(event_id AS BIGINT) % 17 = 0""",
+    "gate_events_arrivals": """
+  SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 23 = 0 THEN NULL ELSE student_id END AS student_id,
+         event_type, gate_type, location, timestamp, CAST(event_id AS BIGINT) % 2 AS arrival FROM gate_events
+  UNION ALL
+  SELECT event_id, student_id, event_type, gate_type, location, timestamp + INTERVAL 1 MINUTE,
+         (CAST(event_id AS BIGINT) + 1) % 2
   FROM gate_events WHERE CAST(event_id AS BIGINT) % 17 = 0""",
     "gate_events_dense": """
   SELECT event_id, CAST(CAST(student_id AS BIGINT) % 5 AS VARCHAR) AS student_id, event_type, gate_type,
@@ -56,13 +63,14 @@ VIEWS = {
 _VIEW_DEPS = {
     "gate_events": (),
     "gate_events_dirty": ("gate_events",),
+    "gate_events_arrivals": ("gate_events",),
     "gate_events_dense": ("gate_events",),
     "gate_events_hot": ("gate_events",),
     "gate_events_odd": ("gate_events",),
     "students": (),
 }
 
-_COPY_ORDER = (
+COPY_ORDER_SQL = (
     "timestamp ASC NULLS LAST, student_id ASC NULLS LAST, event_type ASC NULLS LAST, "
     "gate_type ASC NULLS LAST, location ASC NULLS LAST"
 )
@@ -72,7 +80,7 @@ def clean_full_cte(src: str, as_of: str) -> str:
     return f"""
   SELECT event_id, student_id, event_type, gate_type, location, timestamp, record_date FROM (
     SELECT *, CAST(timestamp AS DATE) AS record_date,
-           row_number() OVER (PARTITION BY event_id ORDER BY {_COPY_ORDER}) AS _copy
+           row_number() OVER (PARTITION BY event_id ORDER BY {COPY_ORDER_SQL}) AS _copy
     FROM {src} WHERE student_id IS NOT NULL AND timestamp <= TIMESTAMP '{as_of}') WHERE _copy = 1"""
 
 
@@ -85,7 +93,7 @@ def latest_cte(src: str) -> str:
 def clean_daily_cte(latest: str) -> str:
     return f"""
   SELECT event_id, student_id, event_type, gate_type, location, timestamp, record_date FROM (
-    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {_COPY_ORDER}) AS _copy
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {COPY_ORDER_SQL}) AS _copy
     FROM {latest} WHERE student_id IS NOT NULL) WHERE _copy = 1"""
 
 

@@ -70,4 +70,14 @@ STUDENT_DIM = T.StructType(
     ]
 )
 
+# The index of merged event ids (``turnstile.operators.keys``).
+KEY_INDEX = T.StructType(
+    [
+        T.StructField("event_id", T.StringType(), True),
+        T.StructField("record_date", T.DateType(), True),
+        T.StructField("bucket", T.IntegerType(), True),
+        T.StructField("batch", T.StringType(), True),
+    ]
+)
+
 STUDENT_DIM_COLUMNS = ("student_id", "major", "year_of_study", "study_level")

@@ -1,5 +1,5 @@
 """Table writers."""
 
-from turnstile.sinks.writers import preview, write_kafka, write_report, write_table
+from turnstile.sinks.writers import preview, replace_days, write_kafka, write_report, write_table
 
-__all__ = ["preview", "write_kafka", "write_report", "write_table"]
+__all__ = ["preview", "replace_days", "write_kafka", "write_report", "write_table"]

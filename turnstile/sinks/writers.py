@@ -6,7 +6,13 @@ only committed task output becomes visible, so a re-run of a job leaves the same
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import re
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from turnstile.sources import partitions
 
 
 def write_table(
@@ -38,16 +44,49 @@ def write_table(
     writer.save(path)
 
 
-def write_report(df: DataFrame, path: str, daily: bool = False) -> None:
+def _directory(column: str, value) -> str:
+    """The directory of a partition value, in the spelling of Spark's writer."""
+    if value is None:
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return column + "=" + re.sub(r"""[\x00-\x1f\x7f"#%'*/:=?\\{}\[\]^]""", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+
+def replace_days(df: DataFrame, path: str, days: list[dt.date], partition_by: tuple[str, ...] = ("record_date",), **options) -> None:
+    """Make ``days`` (values of the first partition column) of a table hold exactly the rows of ``df``, which has no
+    others.
+
+    A dynamic overwrite swaps in the partitions that have rows when the job commits, and leaves the others as they are; a
+    partition of these days that got none is then overwritten by name with an empty table. Which got rows is observed
+    while they are written; which there are comes from the directories.
+    """
+    if not days:
+        return
+    spark, column = df.sparkSession, partition_by[0]
+    got = Observation()
+    listed = df.filter(F.col(column).isin(days)).observe(got, F.collect_set(F.struct(*partition_by)).alias("got"))
+    write_table(listed, path, partition_by=partition_by, dynamic=True, **options)
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in partition_by)
+    stale = set(partitions(spark, path, kinds, days)) - {tuple(p) for p in got.get.get("got") or ()}
+    empty = spark.createDataFrame([], df.drop(*partition_by).schema)
+    for values in stale:
+        folder = "/".join(_directory(c, v) for c, v in zip(partition_by, values, strict=True))
+        write_table(empty, f"{path}/{folder}")
+
+
+def write_report(df: DataFrame, path: str, days: list[dt.date] | None = None) -> None:
     """A report table partitioned by ``record_date``.
 
-    The whole-history job replaces the table (stale days go); the latest-day job replaces
-    only its own day, so running it twice leaves the same rows. Rows are dealt by date with
+    The whole-history job replaces the table (stale days go); with ``days`` exactly these days are replaced, those
+    without rows too, so running a day again leaves what its data says now. Rows are dealt by date with
     a rebalance, which splits a busy day over several tasks and joins small ones, and each
     task sorts its rows; a global order would cost a sampling pass over the whole report.
     """
     order = [c for c in ("record_date", "room_id", "location", "record_hour", "entry_time", "student_id") if c in df.columns]
-    write_table(df.hint("rebalance", "record_date").sortWithinPartitions(*order), path, partition_by=("record_date",), dynamic=daily)
+    dealt = df.hint("rebalance", "record_date").sortWithinPartitions(*order)
+    if days is None:
+        write_table(dealt, path, partition_by=("record_date",))
+    else:
+        replace_days(dealt, path, days)
 
 
 def preview(df: DataFrame, name: str, rows: int = 20) -> None:

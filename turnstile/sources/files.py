@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.schema import CLEAN_EVENT, EVENT_COLUMNS, GATE_EVENT, STUDENT_CSV
@@ -32,6 +33,46 @@ def read_table(spark: SparkSession, path: str, empty: T.StructType) -> DataFrame
         return spark.read.schema(empty).parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A Parquet table read with ``schema``, or no rows if there is no such folder yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as none:
+        if none.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def partitions(spark: SparkSession, path: str, columns: str, days: list | None = None) -> list[tuple]:
+    """The distinct values of a table's partition columns (``columns``: name and type of each, the day first), from its
+    directories: no file is opened. ``days`` restricts them.
+
+    A session of its own asks the metadata-only question (a distinct over partition columns), so that the caller's settings
+    stay. One tuple a directory reaches the driver. A directory whose files have no rows counts, too.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.optimizer.metadataOnly", "true")
+    table = read_if_there(listing, path, columns).select(*T.StructType.fromDDL(columns).fieldNames())
+    if days is not None:
+        table = table.filter(F.col(table.columns[0]).isin(days))
+    return [tuple(r) for r in table.distinct().collect()]
+
+
+def partition_days(spark: SparkSession, path: str, column: str = "record_date") -> list:
+    """The days under which a table has directories, newest first; ``column`` is its first partition column."""
+    return sorted({day for (day,) in partitions(spark, path, f"{column} DATE") if day is not None}, reverse=True)
+
+
+def latest_partition(spark: SparkSession, path: str, schema: T.StructType | str, column: str = "record_date"):
+    """The newest day that has rows, None for no rows. Directories are tried from the newest on; of each one row is
+    read at most."""
+    table = read_if_there(spark, path, schema)
+    for day in partition_days(spark, path, column):
+        if not table.filter(F.col(column) == F.lit(day)).select(F.lit(1)).isEmpty():
+            return day
+    return None
+
+
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """The curated event table (Parquet, hive-partitioned).
 

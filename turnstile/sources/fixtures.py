@@ -68,6 +68,24 @@ def gate_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nulled.union(copies)
 
 
+def gate_events_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty view in two batches (``arrival`` 0 or 1): an event and its late copy never come in the same one, and of every
+    second pair the copy comes first."""
+    plain = gate_events(spark, sf_dir)
+    n = plain.event_id.cast("long")
+    nulled = plain.select(
+        "event_id",
+        F.when(n % 23 == 0, F.lit(None).cast("string")).otherwise(plain.student_id).alias("student_id"),
+        "event_type", "gate_type", "location", "timestamp", (n % 2).cast("int").alias("arrival"),
+    )
+    copies = plain.filter(n % 17 == 0).select(
+        "event_id", "student_id", "event_type", "gate_type", "location",
+        (F.col("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))).alias("timestamp"),
+        ((n + 1) % 2).cast("int").alias("arrival"),
+    )
+    return nulled.union(copies)
+
+
 def gate_events_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five people and two rooms: many stays per person, room and day."""
     plain = gate_events(spark, sf_dir)

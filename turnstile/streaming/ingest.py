@@ -9,21 +9,22 @@ commit a batch once, so a replayed micro-batch adds nothing.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.config import Settings
 from turnstile.operators.ingest import parse_events
-from turnstile.operators.quality import with_record_date
+from turnstile.operators.keys import index_rows, key_bucket, read_keys, touched, unseen
+from turnstile.operators.quality import dedupe_events, with_record_date
 from turnstile.schema import GATE_EVENT
 from turnstile.sinks import write_table
+from turnstile.sources import read_if_there
 
 CURATED_PARTITIONS = ("record_date", "gate_type")
+STUDENT_SEEN = "student_id STRING, bucket INT, batch STRING"
+CHECKPOINTS = "query STRING, number INT"
 
 
 def _trigger(writer, trigger: dict | None):
@@ -103,43 +104,53 @@ def upsert_query(source: DataFrame, settings: Settings, trigger: dict | None = N
 
 
 def graph_upsert(settings: Settings, schema: T.StructType = GATE_EVENT):
-    """A ``foreachBatch`` function that appends new event / student vertices and PERFORMED
-    edges of a micro-batch, to the tables that the whole-history job writes and in its layout.
-
-    Keys already stored are skipped, so a replayed batch, or an event sent twice, adds nothing;
-    the comparison is null-safe, so neither does an event whose timestamp cannot be read. The
-    event tables are partitioned by date and the date is part of the key: a copy of an event
-    stamped on another day is stored again, until the next whole-history run (whose dedupe on
-    ``event_id`` alone is the reference) replaces the tables.
-    """
+    """A ``foreachBatch`` function that merges a micro-batch into the graph's event and student tables, which the
+    whole-history job writes in the same layout.
 
-    def append_new(batch: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()) -> None:
-        fresh = batch.dropDuplicates(keys)
-        spark = batch.sparkSession
-        try:
-            stored = spark.read.schema(batch.schema).parquet(path)
-        except AnalysisException as none:  # the first batch of all
-            if none.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-            fresh = fresh.join(known, same, "left_anti")
-        write_table(fresh, path, partition_by=partition_by, mode="append")
+    An event is known by its id alone: a copy stamped on another day adds nothing. Ids are looked up in the buckets of the
+    index that the batch touches (``operators.keys``). Every table is partitioned by the batch that wrote its rows, and a
+    batch that runs again after a failure overwrites its own partitions with the same rows.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = batch_name(spark, settings, batch_id)
         events = with_record_date(parse_events(batch, schema)).filter(F.col("student_id").isNotNull())
-        events = events.persist()  # one micro-batch, read by three appends
-        day = ("record_date",)
-        append_new(
-            events.select("event_id", "event_type", "gate_type", "location", "timestamp", "record_date"),
-            settings.graph("v_event"), ["record_date", "event_id"], day,
-        )
-        append_new(
-            events.select("student_id", "event_id", "record_date"),
-            settings.graph("e_performed"), ["record_date", "student_id", "event_id"], day,
-        )
-        append_new(events.select("student_id"), settings.graph("v_student_seen"), ["student_id"])
-        events.unpersist()
+        events = dedupe_events(events).withColumn("bucket", key_bucket("event_id", settings.key_buckets)).persist()
+        try:
+            known = read_keys(spark, settings.graph("event_keys"), touched(events, "bucket"), but=name)
+            fresh = unseen(events.drop("bucket"), known, settings.key_buckets).persist()
+            by_day = {"partition_by": ("record_date", "batch"), "mode": "overwrite", "dynamic": True}
+            named = fresh.withColumn("batch", F.lit(name))
+            write_table(
+                named.select("event_id", "event_type", "gate_type", "location", "timestamp", "record_date", "batch"),
+                settings.graph("v_event"), **by_day,
+            )
+            write_table(named.select("student_id", "event_id", "record_date", "batch"), settings.graph("e_performed"), **by_day)
+            students = fresh.select("student_id").distinct().withColumn("bucket", key_bucket("student_id", settings.key_buckets))
+            seen = read_if_there(spark, settings.graph("v_student_seen"), STUDENT_SEEN)
+            seen = seen.filter(F.col("bucket").isin(touched(students, "bucket")) & (F.col("batch") != name))
+            students = students.join(seen.select("bucket", "student_id"), ["bucket", "student_id"], "left_anti")
+            by_bucket = {**by_day, "partition_by": ("bucket", "batch")}
+            write_table(students.withColumn("batch", F.lit(name)), settings.graph("v_student_seen"), **by_bucket)
+            write_table(index_rows(fresh, name, settings.key_buckets), settings.graph("event_keys"), **by_bucket)
+            fresh.unpersist()
+        finally:
+            events.unpersist()
 
     return upsert
+
+
+def batch_name(spark, settings: Settings, batch_id: int) -> str:
+    """A name for a micro-batch that later ones follow in text order, and that it has again when it is run again.
+
+    Batch numbers start over with a new checkpoint, so they are preceded by the number of the checkpoint: the place of
+    its query's id in a list that has one row for each checkpoint ever used.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    path = settings.path("checkpoints_seen")
+    seen = {r["query"]: r["number"] for r in read_if_there(spark, path, CHECKPOINTS).collect()}
+    if query not in seen:
+        seen[query] = 1 + max(seen.values(), default=0)
+        write_table(spark.createDataFrame([(query, seen[query])], CHECKPOINTS), path, mode="append")
+    return f"{seen[query]:06d}-{batch_id:012d}"
