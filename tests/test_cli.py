@@ -5,7 +5,7 @@ from turnstile.__main__ import _parser
 
 
 def test_parser_knows_every_job():
-    for cmd in ("land-students", "produce", "stream", "full", "daily", "analytics"):
+    for cmd in ("land-students", "produce", "stream", "full", "daily", "increment", "compact", "analytics"):
         assert _parser().parse_args([cmd, "--root", "/x"]).command == cmd
 
 

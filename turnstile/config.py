@@ -20,7 +20,7 @@ class Settings:
     # Most Kafka offsets a micro-batch takes (None: the whole backlog at once).
     max_offsets_per_trigger: int | None = 1_000_000
     # Buckets of the id indexes; fixed for the life of a lake. About (bytes of all ids) / 256 MB.
-    key_buckets: int = 256
+    key_buckets: int = 64
 
     def path(self, name: str) -> str:
         return self.paths.get(name) or os.path.join(self.root, name)
@@ -52,6 +52,20 @@ class Settings:
         """Rows stamped later than the run that saw them."""
         return self.path("clean_pending")
 
+    @property
+    def rejects(self) -> str:
+        """Payloads that gave no event, with the reason."""
+        return self.path("rejects")
+
+    @property
+    def students_rejects(self) -> str:
+        return self.path("students_rejects")
+
+    @property
+    def compacted(self) -> str:
+        """Closed days of the curated table in few files."""
+        return self.path("curated_compacted")
+
     @property
     def stays(self) -> str:
         """Stays by the day on which they end."""

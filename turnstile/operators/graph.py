@@ -42,6 +42,22 @@ def students_dim(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_students(raw: DataFrame) -> DataFrame:
+    """(line, student_id, reason): rows of the student file that the dimension leaves out, or takes without a year.
+
+    ``raw`` has the column ``unread`` (``read_students_csv(unread=True)``): the line as it is where it has too few or too
+    many fields.
+    """
+    year = F.col("year_of_study")
+    reason = (
+        F.when(F.col("student_id").isNull(), "no student_id")
+        .when(F.col("unread").isNotNull(), "wrong number of fields")
+        .when(year.isNotNull() & whole_number("year_of_study").isNull(), "year is no number")
+    )
+    found = raw.select(F.col("unread").alias("line"), "student_id", reason.alias("reason"))
+    return found.filter(F.col("reason").isNotNull())
+
+
 def v_student(students: DataFrame, clean: DataFrame) -> DataFrame:
     """Student vertices: every student of the dimension and every student seen in events
     (the latter with null major / year when unknown)."""

@@ -33,6 +33,25 @@ def parse_events(df: DataFrame, schema: T.StructType = GATE_EVENT, value_col: st
     return df.select(F.inline(F.array(F.from_json(payload, schema)))).filter(F.col("event_id").isNotNull())
 
 
+#: Reasons of ``rejected_payloads``.
+NO_PAYLOAD, NO_JSON, NO_EVENT_ID = "no payload", "not a JSON object", "no event_id"
+
+
+def rejected_payloads(df: DataFrame, schema: T.StructType = GATE_EVENT, value_col: str = "value") -> DataFrame:
+    """(value, reason): the payloads of which ``parse_events`` makes no event. Each payload is in one of the two."""
+    payload = F.col(value_col).cast("string")
+    unread = T.StructType([*schema.fields, T.StructField("_unread", T.StringType(), True)])
+    parsed = F.from_json(payload, unread, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread"})
+    # A generator, as in ``parse_events``: each payload is parsed once.
+    rows = df.select(payload.alias("value"), F.inline(F.array(F.struct(parsed.alias("e")))))
+    reason = (
+        F.when(F.col("value").isNull(), NO_PAYLOAD)
+        .when(F.col("e._unread").isNotNull() | F.col("e").isNull(), NO_JSON)
+        .otherwise(NO_EVENT_ID)
+    )
+    return rows.filter(F.col("e.event_id").isNull()).select("value", reason.alias("reason"))
+
+
 def route_events(
     df: DataFrame,
     main_topic: str = TOPIC_MAIN_GATE,

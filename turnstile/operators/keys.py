@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from turnstile.schema import KEY_INDEX
 
-BUCKETS = 256
+BUCKETS = 64
 #: Batch name of a whole-history run. Names are compared as text: it comes before all others.
 FULL = "0"
 

@@ -21,7 +21,7 @@ from turnstile.operators import graph as G
 from turnstile.operators import reports as R
 from turnstile.operators.carry import closed_stays, open_entries
 from turnstile.operators.increments import changed_copies, due, located, redone
-from turnstile.operators.ingest import JSON_WRITE_OPTIONS, parse_events, route_events, to_json_value
+from turnstile.operators.ingest import JSON_WRITE_OPTIONS, parse_events, rejected_payloads, route_events, to_json_value
 from turnstile.operators.keys import index_rows, unseen
 from turnstile.operators.quality import (
     clean_events_daily,
@@ -132,6 +132,26 @@ SELECT event_id, student_id, event_type, gate_type, location,
 FROM gate_events WHERE CAST(event_id AS BIGINT) % 29 <> 0""")
 
 
+def q_rejected_payloads(spark, sf):
+    """The payloads above, with ones that have no id (every 53rd) and no payload at all (every 59th): which are
+    rejected, and why."""
+    ev = fx.gate_events(spark, sf)
+    n = F.col("event_id").cast("long")
+    value = (
+        F.when(n % 29 == 0, F.concat(F.lit("not json "), F.col("event_id")))
+        .when(n % 53 == 0, F.concat(F.lit('{"student_id": "'), F.col("student_id"), F.lit('"}')))
+        .when(n % 59 != 0, to_json_value(ev))
+    )
+    return rejected_payloads(ev.select(value.cast("binary").alias("value")), schema=GATE_EVENT_NTZ)
+
+
+SQL_REJECTED_PAYLOADS = with_views([], """
+SELECT CASE WHEN n % 29 = 0 THEN 'not json ' || event_id
+            WHEN n % 53 = 0 THEN '{"student_id": "' || student_id || '"}' END AS value,
+       CASE WHEN n % 29 = 0 THEN 'not a JSON object' WHEN n % 53 = 0 THEN 'no event_id' ELSE 'no payload' END AS reason
+FROM (SELECT *, CAST(event_id AS BIGINT) AS n FROM gate_events) WHERE n % 29 = 0 OR n % 53 = 0 OR n % 59 = 0""")
+
+
 def q_route_events(spark, sf):
     """Route every event (some with an unknown or missing gate type), then read the JSON
     value back: topic plus the event fields."""
@@ -345,6 +365,7 @@ def _q2_args():
 REGISTRY: dict[str, tuple[Builder, str | None]] = {
     # ingest
     "parse_events": (q_parse_events, SQL_PARSE_EVENTS),
+    "rejected_payloads": (q_rejected_payloads, SQL_REJECTED_PAYLOADS),
     "route_events": (q_route_events, SQL_ROUTE_EVENTS),
     "curated_events": (q_curated_events, SQL_CURATED_EVENTS),
     "latest_day_events": (q_latest_day_events, SQL_LATEST_DAY_EVENTS),

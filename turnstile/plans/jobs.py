@@ -37,7 +37,9 @@ def land_students(spark: SparkSession, settings: Settings, csv_path: str | None
     src = csv_path or settings.students_csv
     if not src:
         raise ValueError("no student file given")
-    write_table(G.students_dim(read_students_csv(spark, src)), settings.students)
+    raw = read_students_csv(spark, src, unread=True)
+    write_table(G.students_dim(raw), settings.students)
+    write_table(G.rejected_students(raw), settings.students_rejects)
 
 
 def students_table(spark: SparkSession, settings: Settings) -> DataFrame:

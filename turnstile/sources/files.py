@@ -10,9 +10,15 @@ from pyspark.sql import types as T
 from turnstile.schema import CLEAN_EVENT, EVENT_COLUMNS, GATE_EVENT, STUDENT_CSV
 
 
-def read_students_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Student dimension file ``student_id,major,year_of_study,study_level`` (all text)."""
-    return spark.read.schema(STUDENT_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_students_csv(spark: SparkSession, path: str, unread: bool = False) -> DataFrame:
+    """Student dimension file ``student_id,major,year_of_study,study_level`` (all text). ``unread`` adds the column
+    ``unread``: the whole line where it has too few or too many fields, else null."""
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if not unread:
+        return reader.schema(STUDENT_CSV).csv(path)
+    schema = T.StructType([*STUDENT_CSV.fields, T.StructField("unread", T.StringType(), True)])
+    # Without pruning: else fields that a query does not use are not counted.
+    return reader.schema(schema).option("columnNameOfCorruptRecord", "unread").option("columnPruning", False).csv(path)
 
 
 def read_events_json(

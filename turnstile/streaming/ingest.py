@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.config import Settings
-from turnstile.operators.ingest import parse_events
+from turnstile.operators.ingest import parse_events, rejected_payloads
 from turnstile.operators.keys import index_rows, key_bucket, read_keys, touched, unseen
 from turnstile.operators.quality import dedupe_events, with_record_date
 from turnstile.schema import GATE_EVENT
@@ -54,10 +54,19 @@ def curated_query(
     partition_by: tuple[str, ...] = CURATED_PARTITIONS,
     trigger: dict | None = None,
     name: str | None = None,
+    copies_within: str | None = None,
 ) -> StreamingQuery:
     """Parsed events to Parquet. Partitioning by date as well as gate lets the latest-day
-    job and date filters read only their directories."""
+    job and date filters read only their directories.
+
+    ``copies_within`` (an interval, "1 hour") leaves out copies of an id that arrive within that time of its first one. The
+    watermark is on the time of arrival, not on the event's: an event that is late by its own time still
+    lands, and a copy that arrives later is found by the batch as before. The state holds the ids of that time.
+    """
     events = parse_events(source, schema)
+    if copies_within:
+        arrived = events.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", copies_within)
+        events = arrived.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
     if "record_date" in partition_by:
         events = with_record_date(events)
     writer = (
@@ -72,26 +81,48 @@ def curated_query(
     return _trigger(writer, trigger).start()
 
 
+def rejects_query(
+    source: DataFrame, path: str, checkpoint: str, schema: T.StructType = GATE_EVENT, trigger: dict | None = None, name: str | None = None
+) -> StreamingQuery:
+    """Payloads that the curated table does not take, with the reason, to Parquet by reason: what it has and the
+    curated table has are together the raw log."""
+    writer = (
+        rejected_payloads(source, schema)
+        .writeStream.format("parquet")
+        .partitionBy("reason")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+    if name:
+        writer = writer.queryName(name)
+    return _trigger(writer, trigger).start()
+
+
 def start_ingest(
-    source: DataFrame, settings: Settings, trigger: dict | None = None
+    source: DataFrame, settings: Settings, trigger: dict | None = None, copies_within: str | None = None
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both queries on one source frame (``kafka_stream`` in production)."""
     raw = raw_query(source, settings.raw, settings.checkpoint("raw"), trigger, "raw_events")
     curated = curated_query(
-        source, settings.curated, settings.checkpoint("curated"), trigger=trigger, name="curated_events"
+        source, settings.curated, settings.checkpoint("curated"), trigger=trigger, name="curated_events", copies_within=copies_within
     )
     return raw, curated
 
 
-def run_stream(spark, settings: Settings, trigger: dict | None = None, upsert: bool = False) -> None:
-    """The long-running ingest: Kafka -> raw log + curated table (+ graph tables with ``upsert``), until a
-    query stops. ``settings.max_offsets_per_trigger`` bounds each micro-batch, the first one too."""
+def run_stream(
+    spark, settings: Settings, trigger: dict | None = None, upsert: bool = False, rejects: bool = False, copies_within: str | None = None
+) -> None:
+    """The long-running ingest: Kafka -> raw log + curated table (+ graph tables with ``upsert``, + the rejects table with
+    ``rejects``), until a query stops. ``settings.max_offsets_per_trigger`` bounds each micro-batch, the first one too."""
     from turnstile.sources.kafka import kafka_stream
 
     source = kafka_stream(
         spark, settings.kafka_servers, settings.topics, max_offsets_per_trigger=settings.max_offsets_per_trigger
     )
-    start_ingest(source, settings, trigger)
+    start_ingest(source, settings, trigger, copies_within)
+    if rejects:
+        rejects_query(source, settings.rejects, settings.checkpoint("rejects"), trigger=trigger, name="rejects")
     if upsert:
         upsert_query(source, settings, trigger)
     spark.streams.awaitAnyTermination()
