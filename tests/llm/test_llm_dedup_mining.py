@@ -238,3 +238,37 @@ def test_periodic_runs_query(spark, tmp_path, monkeypatch):
     assert all(rows[d.doc_id] == _digest(d.doc_id, d.text) for d in whole) and len(whole) > 100
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert periodic_runs.collapse(empty).count() == 0
+
+
+# -- main text ------------------------------------------------------------------------------
+
+LONG = "This is a paragraph of the article with a good many words in it, as one would expect. " * 3
+ARTICLE = f"<article><h1>Head</h1><p>{LONG}</p>%s<p>End.</p></article>"
+
+
+@pytest.mark.parametrize("furniture", [
+    "<div id=comments><p>first</p><article class=comment-body><p>nice one</p></article></div>",
+    "<aside><article><p>teaser</p></article></aside>", "<article class=comment><p>hi</p></article>", "<article class='post teaser'><p>hi</p></article>",
+    "<p class=advert>Buy</p>", "<p class=cookie-notice>We use them</p>", "<ul><li class=comment>me</li></ul>",
+    "<table class=sidebar><tr><td>x</td></tr></table>", "<div id=comments><p>a</p></div>", "<div id=sidebar>s</div>", "<div class='share-buttons'>Share</div>",
+])
+def test_main_text_leaves_furniture_in_and_beside_the_article(furniture):
+    from turnstile.llm.html_text import main_text
+
+    for page in ("<body>" + ARTICLE % furniture, "<body>" + ARTICLE % "" + furniture, "<main>" + ARTICLE % furniture + "</main>", "<body><main>" + ARTICLE % "" + furniture + "</main>"):
+        assert main_text(page).split("\n\n") == ["Head", LONG.strip(), "End."], page
+
+
+def test_main_text_of_headers_and_unclosed_elements():
+    import time
+
+    from turnstile.llm.html_text import main_text
+
+    assert main_text(f"<body><main><header>Site</header>{ARTICLE % ''}</main>").split("\n\n")[0] == "Head"
+    assert main_text(f"<main><header><h1>Own</h1></header><p>{LONG}</p></main>").split("\n\n")[0] == "Own"
+    assert main_text(f"<div class=comments>{ARTICLE % ''}").split("\n\n")[0] == "Head"  # never closed
+    assert main_text("<table><tr><td>a<td>b<tr><td>c<table><tr><td>d</table><td>e</table><ul><li>f<li>g</ul>").split("\n\n") == list("abcdefg")
+    began = time.monotonic()
+    assert len(main_text("<table>" + "<tr><td>cell text<td>other" * 20_000)) == 20_000 * 18 - 2
+    assert len(main_text("<div>x" * 60_000)) == 60_000 * 3 - 2
+    assert time.monotonic() - began < 60

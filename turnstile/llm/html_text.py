@@ -2,22 +2,28 @@
 
 The standard library's event parser is fed the page; no tree is built. Events make *lines*: the text of
 one block, the tags met in it and the container it lies in. Boilerplate elements (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, reader comments: by element, role or class word) are left out
-as they stream by. Inside article and main ids do not count, for those of headings and sections are made of their text, nor do
-the classes of elements that hold text themselves. Each line's text-to-tag ratio is smoothed with a Gaussian; lines at or above the threshold
-(``SPREAD`` standard deviations, at most the largest ratio) form the content cluster. The content region is the outermost
+sidebars, notices, adverts, forms, scripts, reader comments: by element, role or word of their class or id) are left out
+as they stream by; an article or main inside one goes with it, unless the element is never closed, which a first pass over
+the tags tells. Inside article and main such words only *hint* at furniture, and count less, for ids and classes there are
+often made of the text: on elements that hold text, and in the ids of plain containers, only those that name nothing
+else (``ALWAYS``). An article of its own goes if a class name begins with such a word.
+
+Each line's text-to-tag ratio is smoothed with a Gaussian; lines at or above the threshold
+(``SPREAD`` standard deviations, at most the largest ratio) form the content cluster. A hinted element goes, unless it holds
+``SHARE`` of the cluster's characters; so does a header beside the article of a main. The content region is the outermost
 article or main with at least ``SHARE`` of the cluster's characters, where no other holds any; else the deepest container with
-the whole cluster, which may be the page. Every line of the region is kept, short ones too.
+the whole cluster, which may be the page. Every other line of the region is kept, short ones too.
 
 Null and empty pages give an empty text, as do pages without content. Truncated or badly nested markup is
-read as far as it goes. One row out per row in; repeated rows, null ids and further columns pass.
+read as far as it goes; cells, rows and list items end where the next one begins. Time and memory follow the page's length. One
+row out per row in; repeated rows, null ids and further columns pass.
 """
 
 from __future__ import annotations
 
 import math
-import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -33,92 +39,186 @@ SPREAD, SIGMA, SHARE = 1.0, 1.0, 0.75
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body div main section td".split())
 MAIN = frozenset(("article", "main"))
+#: An element that ends when one of these begins, and the elements that it does not look beyond.
+ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+SCOPES = frozenset("table ul ol dl menu article main body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("aside audio button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title video".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 DROPPED_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
-#: Elements that hold text or table rows: in an article no class word drops them.
+#: Words that name furniture inside an article, too.
+ALWAYS = frozenset(
+    "ad ads adsense advert adverts advertisement advertising comment comments consent cookie cookies disqus gdpr newsletter paywall promo promoted related replies respond sidebar signup sponsor sponsored subscribe teaser widget".split()
+)
+#: Elements that hold text or table rows: in an article other class words say nothing of them.
 TEXTS = frozenset("blockquote caption dd dt figcaption figure h1 h2 h3 h4 h5 h6 li p pre table tbody td tfoot th thead tr".split())
+#: In an article the ids of these count; those of others are made of their text.
+PLAIN = frozenset("div ol table ul".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 _ODD_DECLARATION = re.compile(r"<!(?!--|doctype)[^>]*>", re.I)
 
 
-class Lines(HTMLParser):
-    """Collects ``[text, tags, container path]`` for each block outside boilerplate. A path holds the numbers of the open
-    containers; those of ``MAIN`` are negative."""
+class Tags(HTMLParser):
+    """The numbers of the start tags whose element is never closed."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.open: dict[str, list[int]] = {}
+        self.made = 0
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.made += 1
+        if tag not in VOID:
+            self.open.setdefault(tag, []).append(self.made)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.open.get(tag):
+            self.open[tag].pop()
+
+    def unclosed(self) -> frozenset[int]:
+        return frozenset(n for numbers in self.open.values() for n in numbers)
+
+
+class Lines(HTMLParser):
+    """Collects ``(text, tags, container, hint)`` for each block outside boilerplate.
+
+    Containers are numbered as they open, so that a container's descendants have the numbers up to its ``last``; the
+    page is 0. ``top`` is a container's outermost article or main, 0 without one; ``article``: it is in an article. A hint is the number of the hinted
+    element or header around the block, 0 without one.
+    """
+
+    def __init__(self, unclosed: frozenset[int]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.unclosed = unclosed
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = 0
-        self.open: list[str] = []  # open block elements
-        self.path: list[tuple[int, int]] = []  # (depth in open, number) of the open containers
+        self.open: list[tuple[str, int, int]] = []  # open block elements: name, container or 0, hint or 0
+        self.count: Counter[str] = Counter()  # of their names
+        self.parent, self.last, self.top, self.article = [0], [0], [0], [False]
+        self.inner = [0]  # open containers
+        self.hints: list[int] = [0]  # open hints
+        self.headers: dict[int, int] = {}  # hint to the main around a header
         self.dropped: str | None = None  # the boilerplate element that we are inside of
+        self.endless = False  # it is never closed
         self.inside = 0  # elements of the same name open inside it
-        self.made = 0
+        self.made = 0  # start tags
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, tuple(n for _, n in self.path)))
+            self.lines.append((text, self.tags, self.inner[-1], self.hints[-1]))
         self.text.clear()
         self.tags = 0
 
-    def unwanted(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def finish(self) -> None:
+        self.flush()
+        self.close_to(0)
+        self.last[0] = len(self.last) - 1
+
+    def unwanted(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """"drop", "hint" or "" (wanted)."""
         if tag in DROPPED:
-            return True
-        if tag in ("article", "main", "body", "html"):
-            return False
-        within = not MAIN.isdisjoint(self.open)
-        if tag == "header":
-            return not within
-        words = ("class", "id") if not within else () if tag in TEXTS else ("class",)
+            return "drop"
+        if tag in ("main", "body", "html"):
+            return ""
+        in_article = self.count["article"] > 0
+        if tag == "header" and not in_article:
+            return "hint" if self.count["main"] else "drop"
+        verdict = ""
         for name, value in attrs:
             value = (value or "").lower()
-            if name in words and not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
-                return True
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in DROPPED_ROLES:
-                return True
+                return "" if tag == "article" else "drop"
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        return False
+                return "drop"
+            if name not in ("class", "id"):
+                continue
+            if tag == "article":
+                if name == "class" and any((w := _WORDS.findall(token)) and w[0] in ALWAYS for token in value.split()):
+                    return "drop"
+            elif not in_article and not self.count["main"]:
+                if not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
+                    return "drop"
+            elif name == "class" and tag not in TEXTS:
+                if not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
+                    verdict = "hint"
+            elif name == "class" or tag in PLAIN:
+                words = [w for token in value.split() for w in _WORDS.findall(token)[:1]]
+                if not ALWAYS.isdisjoint(words):
+                    verdict = "hint"
+        return verdict
 
     def close_to(self, depth: int) -> None:
+        for name, container, hint in reversed(self.open[depth:]):
+            self.count[name] -= 1
+            if container:
+                self.last[container] = len(self.last) - 1
+                self.inner.pop()
+            if hint:
+                self.hints.pop()
         del self.open[depth:]
-        while self.path and self.path[-1][0] >= depth:
-            self.path.pop()
+
+    def end(self, names: tuple[str, ...], scope: frozenset[str] = frozenset()) -> None:
+        """Close the innermost open element of these names, if one is open (inside the innermost scope)."""
+        if any(self.count[name] for name in names):
+            for depth in range(len(self.open) - 1, -1, -1):
+                if self.open[depth][0] in names:
+                    self.close_to(depth)
+                    return
+                if self.open[depth][0] in scope:
+                    return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.made += 1
         if self.dropped:
-            if tag in ("article", "main", "body") and self.dropped not in ("script", "style"):
-                self.dropped = None  # the furniture was never closed
+            if self.endless and tag in ("article", "main", "body") and self.dropped not in ("script", "style"):
+                self.dropped = None
             else:
                 self.inside += tag == self.dropped
                 return
-        if tag not in VOID and self.unwanted(tag, attrs):
+        verdict = "" if tag in VOID else self.unwanted(tag, attrs)
+        if verdict == "drop":
             if tag in BLOCKS:
                 self.flush()
-            self.dropped, self.inside = tag, 0
+            self.dropped, self.inside, self.endless = tag, 0, self.made in self.unclosed
             return
         if tag in BLOCKS:
             self.flush()
-            if self.open and self.open[-1] == "p":
+            if self.open and self.open[-1][0] == "p":
                 self.close_to(len(self.open) - 1)
-            if tag in CONTAINERS:
-                self.made += 1
-                self.path.append((len(self.open), -self.made if tag in MAIN else self.made))
+            if tag in ENDS:
+                self.end(ENDS[tag], SCOPES)
             if tag not in VOID:
-                self.open.append(tag)
+                container = hint = 0
+                if tag in CONTAINERS:
+                    container = len(self.last)
+                    above = self.inner[-1]
+                    self.parent.append(above), self.last.append(container)
+                    self.article.append(self.article[above] or tag == "article")
+                    self.top.append(self.top[above] or (container if tag in MAIN else 0))
+                    self.inner.append(container)
+                if verdict:
+                    hint = self.made
+                    if tag == "header":
+                        self.headers[hint] = self.top[self.inner[-1]]
+                    self.hints.append(self.hints[-1] or hint)
+                self.open.append((tag, container, hint))
+                self.count[tag] += 1
         elif tag == "br":
             self.text.append(" ")
         self.tags += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID or tag not in BLOCKS | DROPPED:
-            if not self.dropped:
+            if self.dropped:
+                self.made += 1
+            else:
                 self.handle_starttag(tag, attrs)
         else:
             self.handle_starttag(tag, attrs)
@@ -131,32 +231,36 @@ class Lines(HTMLParser):
                 else:
                     self.dropped = None
                 return
-            if tag not in ("body", "html", "article", "main") or tag not in self.open:
+            if not self.endless or tag not in ("body", "html", "article", "main") or not self.count[tag]:
                 return
             self.dropped = None
         if tag in BLOCKS:
             self.flush()
-            for depth in range(len(self.open) - 1, -1, -1):
-                if self.open[depth] == tag:
-                    self.close_to(depth)
-                    break
+            self.end((tag,))
 
     def handle_data(self, data: str) -> None:
         if not self.dropped:
             self.text.append(data)
 
 
-def page_lines(html: str) -> list[tuple[str, int, tuple[int, ...]]]:
+def _fed(make, html: str):
+    """A parser that has read the page; without declarations that it does not know, if there are such."""
     for source in (html, _ODD_DECLARATION.sub("", html)):
-        parser = Lines()
+        parser = make()
         try:
             parser.feed(source)
             parser.close()
-        except AssertionError:  # a declaration that the parser does not know
+        except AssertionError:
             continue
         break
-    parser.flush()
-    return parser.lines
+    return parser
+
+
+def page_lines(html: str) -> Lines:
+    unclosed = _fed(Tags, html).unclosed()
+    parser = _fed(lambda: Lines(unclosed), html)
+    parser.finish()
+    return parser
 
 
 def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
@@ -170,32 +274,43 @@ def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def content_region(cluster: list[tuple[int, tuple[int, ...]]]) -> tuple[int, ...]:
-    """The path of the region, from the (characters, path) of the cluster's lines."""
-    held: dict[tuple[int, ...], int] = {}
-    for n, path in cluster:
-        depth = next((d for d, number in enumerate(path, 1) if number < 0), 0)
-        if depth:
-            held[path[:depth]] = held.get(path[:depth], 0) + n
+def content_region(page: Lines, cluster: list[tuple[int, int]]) -> int:
+    """The container of the region, from the (characters, container) of the cluster's lines."""
+    held: Counter[int] = Counter()
+    for n, container in cluster:
+        if page.top[container]:
+            held[page.top[container]] += n
     if len(held) == 1:
         ((region, n),) = held.items()
         if n >= SHARE * sum(n for n, _ in cluster):
             return region
-    return tuple(os.path.commonprefix([path for _, path in cluster]))
+    first, last = min(c for _, c in cluster), max(c for _, c in cluster)
+    region = first
+    while page.last[region] < last:
+        region = page.parent[region]
+    return region
 
 
 def main_text(html: str | None) -> str:
-    lines = page_lines(html or "")
+    page = page_lines(html or "")
+    lines = page.lines
     if not lines:
         return ""
-    ratio = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
+    ratio = smoothed([len(text) / max(1, tags) for text, tags, _, _ in lines])
     mean = sum(ratio) / len(ratio)
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
     threshold = min(max(ratio), SPREAD * spread)
-    content = [i for i, r in enumerate(ratio) if r >= threshold]
-    region = content_region([(len(lines[i][0]), lines[i][2]) for i in content])
-    kept = [i for i, line in enumerate(lines) if line[2][: len(region)] == region]
-    return "\n\n".join(lines[i][0] for i in kept)
+    content = [line for line, r in zip(lines, ratio, strict=True) if r >= threshold]
+    whole, hinted, articles = 0, Counter(), set()
+    for text, _, container, hint in content:
+        whole += len(text)
+        hinted[hint] += len(text)
+        if page.article[container]:
+            articles.add(page.top[container])
+    # Furniture by its word, unless it is the content; and headers of a main that has an article.
+    gone = {h for *_, h in lines if h and (page.headers[h] in articles if h in page.headers else hinted[h] < SHARE * whole)}
+    region = content_region(page, [(len(t), c) for t, _, c, h in content if h not in gone] or [(len(t), c) for t, _, c, _ in content])
+    return "\n\n".join(t for t, _, c, h in lines if h not in gone and region <= c <= page.last[region])
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
