@@ -34,6 +34,8 @@ LEAF = 32
 ANCHOR_TILE, ITEM_TILE = 256, 1024
 #: Most bytes of vectors that a cell takes of either side.
 GROUP_BYTES = 32 << 20
+#: Fewer rows are not spread over more cells: each cell gives every anchor a heap.
+CELL_ROWS = 4096
 _LOWEST = np.iinfo(np.int64).min
 
 
@@ -186,7 +188,8 @@ def mine(
     n, n_asked, dim = rows.agg(F.count(F.lit(1)), F.count_if(is_anchor), F.max("dim")).first()
     a_group = max(1, group_bytes // (8 * (dim or 1)))
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    a_cells, i_cells = max(1, math.ceil(n_asked / a_group)), max(spread, math.ceil(n / a_group))
+    a_cells = max(1, math.ceil(n_asked / a_group))
+    i_cells = max(1, math.ceil(n / a_group), min(spread, math.ceil(n / CELL_ROWS)))
 
     def everywhere(cells: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
