@@ -76,6 +76,9 @@ def test_increments_equal_one_run(spark, events, tmp_path):
     jobs.run_full_batch(spark, steps, as_of=AS_OF, with_graph=False)
     _land(events(data[60:]), steps)
     I.run_increment(spark, steps, as_of=AS_OF)
+    before = jobs.keys_path(spark, steps)
+    assert not I.fold_keys(spark, steps) and I.fold_keys(spark, steps, batches=1)
+    assert jobs.keys_path(spark, steps) != before
     # A later look: what was ahead of its time counts now.
     late = [("late", "s1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-02 08:00:00")]
     _land(events(late), steps)
@@ -159,7 +162,7 @@ def test_increment_that_fails_half_way(spark, events, tmp_path, monkeypatch):
                 I.run_increment(spark, steps, as_of=AS_OF)
     I.run_increment(spark, steps, as_of=AS_OF)
     assert _state(spark, steps) == _state(spark, whole)
-    index = newest(read_keys(spark, steps.clean_keys, list(range(4))))
+    index = newest(read_keys(spark, jobs.keys_path(spark, steps), list(range(4))))
     assert rows(index, "event_id", "record_date") == rows(spark.read.parquet(whole.clean), "event_id", "record_date")
 
 

@@ -42,8 +42,8 @@ def number_students(students: DataFrame, known: DataFrame | None = None, buckets
     numbered = dealt.withColumn("_place", place).join(offsets, "_b")
     if known is None:
         return numbered.select("student_id", (F.col("_offset") + F.col("_place")).alias("number"))
-    last = known.agg(F.coalesce(F.max("number"), F.lit(0)).alias("_last"))  # one row
-    new = numbered.crossJoin(last).select("student_id", (F.col("_last") + F.col("_offset") + F.col("_place")).alias("number"))
+    last = known.select(F.coalesce(F.max("number"), F.lit(0))).scalar()
+    new = numbered.select("student_id", (last + F.col("_offset") + F.col("_place")).alias("number"))
     return known.select("student_id", "number").unionByName(new)
 
 
@@ -99,5 +99,5 @@ def visit_summary_from_daily(daily: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_v"), F.lit(0)).alias("total_entries"),
         F.coalesce(F.sum(F.bitmap_count("_s")), F.lit(0)).alias("unique_students"),
     )
-    days = daily.agg(F.countDistinct("local_date").alias("unique_days"))  # one row
-    return summary_ratios(counts.crossJoin(days))
+    days = daily.select(F.countDistinct("local_date")).scalar()
+    return summary_ratios(counts.withColumn("unique_days", days))

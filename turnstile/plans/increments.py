@@ -18,7 +18,7 @@ from turnstile.operators import carry as C
 from turnstile.operators import reports as R
 from turnstile.operators import visitors as V
 from turnstile.operators.increments import changed_copies, due, located, redone
-from turnstile.operators.keys import index_rows, key_bucket, newest, read_keys, touched
+from turnstile.operators.keys import FULL, index_rows, key_bucket, newest, read_keys, touched
 from turnstile.operators.quality import dedupe_events, with_record_date
 from turnstile.plans.jobs import (
     CLEAN_CLUSTER,
@@ -28,13 +28,16 @@ from turnstile.plans.jobs import (
     PENDING,
     STAYS,
     VISITS,
+    keys_path,
     students_table,
 )
 from turnstile.schema import CLEAN_EVENT
 from turnstile.sinks import replace_days, write_report, write_table
-from turnstile.sources import partition_days, read_if_there
+from turnstile.sources import partition_days, partitions, read_if_there
 from turnstile.streaming.ingest import batch_name
 
+#: Batches whose rows the index of ids keeps apart.
+FOLD = 100
 NUMBERS = "student_id STRING, number BIGINT, batch STRING"
 
 
@@ -59,24 +62,37 @@ def merge_rows(spark: SparkSession, settings: Settings, rows: DataFrame, batch:
 
     increment = dedupe_events(now.unionByName(released)).withColumn("bucket", key_bucket("event_id", settings.key_buckets)).persist()
     buckets = touched(increment, "bucket")
-    found = located(increment.drop("bucket"), newest(read_keys(spark, settings.clean_keys, buckets, but=batch))).persist()
+    keys = keys_path(spark, settings)
+    found = located(increment.drop("bucket"), newest(read_keys(spark, keys, buckets, but=batch))).persist()
     clean = _clean(spark, settings)
     # The kept copies, each on its own day; what an earlier run of this batch put there has no say.
     places = found.select("event_id", F.col("old_date").alias("record_date"))
-    own = read_keys(spark, settings.clean_keys, buckets).filter(F.col("batch") == batch)
+    own = read_keys(spark, keys, buckets).filter(F.col("batch") == batch)
     stored = clean.filter(F.col("record_date").isin(touched(found, "old_date"))).join(places, ["event_id", "record_date"], "left_semi")
     stored = stored.join(own.select("event_id"), "event_id", "left_anti").select(*columns)
     changed = _staged(changed_copies(found, stored), settings, "changed")
     increment.unpersist(), found.unpersist()
     days = sorted({*touched(changed, "record_date"), *touched(changed, "old_date")})
     if days:
-        write_table(index_rows(changed, batch, settings.key_buckets), settings.clean_keys, dynamic=True, **KEY_LAYOUT)
+        write_table(index_rows(changed, batch, settings.key_buckets), keys, dynamic=True, **KEY_LAYOUT)
         content = redone(clean.filter(F.col("record_date").isin(days)), changed)
         content = _staged(content, settings, "clean", partition_by=CLEAN_PARTITIONS, cluster_by=CLEAN_CLUSTER)
         replace_days(content, settings.clean, days, partition_by=CLEAN_PARTITIONS)
     return days
 
 
+def fold_keys(spark: SparkSession, settings: Settings, batches: int = FOLD) -> bool:
+    """Write the index anew from the clean table once more than ``batches`` batches have their partitions in it, so that its
+    folders stay few. It goes to a folder of its own, which counts when it is whole. Only while no batch is unfinished."""
+    path = keys_path(spark, settings)
+    if len({name for _, name in partitions(spark, path, "bucket INT, batch STRING")}) <= batches:
+        return False
+    version = int(path.rsplit("/", 1)[1]) + 1
+    write_table(index_rows(_clean(spark, settings), FULL, settings.key_buckets), f"{settings.clean_keys}/{version:06d}", **KEY_LAYOUT)
+    write_table(spark.createDataFrame([(version,)], "version INT"), f"{settings.clean_keys}_folded", mode="append")
+    return True
+
+
 def refresh_reports(spark: SparkSession, settings: Settings, days: list[dt.date]) -> None:
     """The reports that depend on a day alone."""
     clean = _clean(spark, settings).filter(F.col("record_date").isin(days))
@@ -165,6 +181,7 @@ def run_increment(spark: SparkSession, settings: Settings, as_of=None, max_files
         .start()
     )
     query.awaitTermination()
+    fold_keys(spark, settings)
 
 
 def questions_from_daily(spark: SparkSession, settings: Settings, as_of, trailing_days: int = 30) -> dict[str, DataFrame]:

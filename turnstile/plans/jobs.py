@@ -19,7 +19,7 @@ from turnstile.operators import analytics as A
 from turnstile.operators import graph as G
 from turnstile.operators import reports as R
 from turnstile.operators.increments import due
-from turnstile.operators.keys import FULL, index_rows
+from turnstile.operators.keys import FULL, index_rows, touched
 from turnstile.operators.quality import (
     clean_events_daily,
     clean_events_full,
@@ -65,6 +65,12 @@ KEY_LAYOUT = {"partition_by": ("bucket", "batch"), "cluster_by": ("bucket", "eve
 BY_DATE = ("v_event", "e_performed")
 
 
+def keys_path(spark: SparkSession, settings: Settings) -> str:
+    """The folder of the clean table's index of ids: the last that was folded (``increments.fold_keys``)."""
+    folded = read_if_there(spark, f"{settings.clean_keys}_folded", "version INT")
+    return f"{settings.clean_keys}/{max(touched(folded, 'version'), default=0):06d}"
+
+
 def _publish(reports: dict[str, DataFrame], settings: Settings, show: bool = False, days: list | None = None) -> None:
     for name, df in reports.items():
         if show:
@@ -97,7 +103,7 @@ def run_full_batch(
         show=show,
     )
     # For increments: which day holds each id, what has to wait for its time; what they carried over starts anew.
-    write_table(index_rows(clean, FULL, settings.key_buckets), settings.clean_keys, **KEY_LAYOUT)
+    write_table(index_rows(clean, FULL, settings.key_buckets), keys_path(spark, settings), **KEY_LAYOUT)
     write_table(due(curated, as_of)[1].withColumn("batch", F.lit(FULL)), settings.clean_pending, partition_by=("batch",))
     for path, empty, column in ((settings.stays, STAYS, "closed_date"), (settings.open_entries, OPEN_ENTRIES, "open_date"), (settings.visits_daily, VISITS, "visit_date")):
         write_table(spark.createDataFrame([], empty), path, partition_by=(column,))
