@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _lake(spark, tmp_path):
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     # curated table laid out as the stream writes it
     dirty = fx.gate_events_dirty(spark, SF)
     from turnstile.operators.quality import with_record_date
@@ -176,7 +176,7 @@ def test_daily_leaves_the_questions_alone(spark, events, tmp_path):
     data = [(f"m{i}", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 08:00:00") for i in range(3)]
     data += [("twice", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 23:59:00"), ("twice", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-06 00:01:00")]
     data += [("late", "2", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2099-01-01 00:00:00")]
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     write_table(with_record_date(events(data)), settings.curated, partition_by=("record_date", "gate_type"))
     csv = str(tmp_path / "csv")
     spark.createDataFrame([("1", "cs", "2", "UG")], "student_id string, major string, year_of_study string, study_level string").write.option("header", True).csv(csv)
@@ -198,7 +198,7 @@ def test_no_events_no_stays_and_main_gate_only(spark, events, tmp_path):
     main = [("m1", "1", "ENTRY", "MAIN_GATE", "MAIN_HALL", "2026-03-05 08:00:00")]
     no_stay = [*main, ("r1", "1", "ENTRY", "ROOM_GATE", "A", "2026-03-05 09:00:00")]
     for name, data in (("none", []), ("main", main), ("no_stay", no_stay)):
-        settings = Settings(root=str(tmp_path / name))
+        settings = Settings(key_buckets=4, root=str(tmp_path / name))
         write_table(with_record_date(events(data)), settings.curated, partition_by=("record_date", "gate_type"))
         write_table(spark.createDataFrame([], "student_id string, major string, year_of_study int, study_level string"), settings.students)
         for _ in range(2):

@@ -30,7 +30,7 @@ def _run(spark, inbox, settings):
 
 def test_stream_raw_and_curated_with_restart(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     _drop(inbox, "a.json", [_event(1), _event(2, "ROOM_GATE", "1A"), "not json", _event(3, when="2026-03-06T09:00:00")])
     _run(spark, inbox, settings)
 
@@ -57,7 +57,7 @@ def test_batch_parse_equals_stream_parse(spark, tmp_path):
     from turnstile.operators.ingest import parse_events
 
     inbox = str(tmp_path / "inbox")
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     lines = [_event(i, "ROOM_GATE" if i % 2 else "MAIN_GATE", "1A" if i % 2 else "MAIN_HALL") for i in range(20)]
     _drop(inbox, "a.json", lines + ["{}", "[1,2"])
     _run(spark, inbox, settings)
@@ -67,7 +67,7 @@ def test_batch_parse_equals_stream_parse(spark, tmp_path):
 
 
 def test_graph_upsert_replay_adds_nothing(spark, tmp_path):
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     upsert = graph_upsert(settings)
     batch = spark.createDataFrame([(_event(1),), (_event(2),), (_event(1),)], "value string")
     upsert(batch, 0)
@@ -79,7 +79,7 @@ def test_graph_upsert_replay_adds_nothing(spark, tmp_path):
 
 
 def test_upsert_of_a_bad_timestamp_is_idempotent(spark, tmp_path):
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     upsert = graph_upsert(settings)
     batch = spark.createDataFrame([(_event(1, when="soon"),), (_event(2),)], "value string")
     for _ in range(3):
@@ -95,7 +95,7 @@ def test_full_and_upsert_share_their_tables(spark, tmp_path):
     from turnstile.streaming import upsert_query
 
     inbox = str(tmp_path / "inbox")
-    settings = Settings(root=str(tmp_path / "lake"))
+    settings = Settings(key_buckets=4, root=str(tmp_path / "lake"))
     write_table(spark.createDataFrame([], "student_id string, major string, year_of_study int, study_level string"), settings.students)
     ids = lambda: sorted(r.event_id for r in spark.read.parquet(settings.graph("v_event")).collect())
     seen = []
