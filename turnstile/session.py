@@ -28,7 +28,8 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder in the shared folder that the session names in ``spark.checkpoint.dir``; a local session that names
     none gets one of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is None and not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if shared is None and master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='turnstile-')}/{uuid.uuid4().hex}"
 
