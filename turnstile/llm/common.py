@@ -47,6 +47,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir() or _shared(spark)}/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``scratch``, but as a Parquet table: a plan without a shuffle at its end runs once, not twice, and columns
+    that are not asked for are not read. ``forget`` removes it."""
+    spark = df.sparkSession
+    at = scratch_dir(spark)
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove a table of ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64 over uint64."""
     with np.errstate(over="ignore"):

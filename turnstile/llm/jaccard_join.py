@@ -12,7 +12,9 @@ component. All links between different sets are found, none is taken on a guess:
    for each (token, group), dealt by token. Groups that meet on a token are counted: the tokens that two unions share
    bound the overlap of any two members. Pairs below what their members' sizes need never are opened.
 4. *Opening.* For the others first the two centres are compared: one link joins the groups. Groups still apart that hold
-   other nodes than their centre are opened: their members' prefixes are counted likewise, pair by pair, and what passes is compared.
+   other nodes than their centre are opened: their members' prefixes are counted likewise, pair by pair. Of what passes the
+   pair that shares most is compared first for each two components, then, with labels renewed, the rest of those still apart.
+   Two single nodes are paired where they may share their first token, not on each that they share.
 
 Comparisons fetch just the documents they need and count shared shingles exactly (64-bit hashes of shingles).
 Large components cost what their stars cost, not their pairs. The list of frequent tokens (``FREQUENT``
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, mix, prefix_hash, read, scratch, span_hash
+from .common import WordHashes, forget, mix, prefix_hash, read, span_hash, written
 
 SHINGLE, PERCENT = 5, 80
 BANDS = 6
@@ -154,12 +156,12 @@ def _prefix_rows(size: int, order):
     return run
 
 
-_ROWS = "token long, grp long, node long, low int, high int, many boolean, rest int"
+_ROWS = "token long, grp long, node long, low int, high int, many boolean, rest int, before long"
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(grp, node, low, high, many, n, tokens) to one row for each prefix token; ``rest`` is how many tokens of the
-    set stand from this one on."""
+    set stand from this one on, ``before`` the token that precedes it (the first: itself)."""
     for batch in batches:
         for i in range(0, batch.num_rows, 500):
             part = batch.slice(i, 500)
@@ -169,8 +171,10 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.array([len(t) for t in tokens])
             n = part.column(5).to_numpy()
             place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            flat = np.concatenate(tokens)
+            before = np.where(place > 0, np.roll(flat, 1), flat)
             spread = [pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), sizes)) for c in range(5)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *spread, pa.array((np.repeat(n, sizes) - place).astype(np.int32))], names=["token", "grp", "node", "low", "high", "many", "rest"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat), *spread, pa.array((np.repeat(n, sizes) - place).astype(np.int32)), pa.array(before)], names=["token", "grp", "node", "low", "high", "many", "rest", "before"])
 
 
 def _least_shared(a, b):
@@ -196,23 +200,27 @@ def _group_need(low_a, high_a, low_b, high_b):
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order (token, node) to the pairs of nodes of different groups on each token whose sizes may link:
     with the tokens that they need to share, and whether this one may be their first. A group's members have sizes from
-    low to high."""
+    low to high, and its pairs are counted token by token. Two single nodes are paired only where this may be the first
+    token that they share: enough tokens follow in both, and different ones (or none) precede it."""
 
     def pairs(rows: list[np.ndarray]):
-        token, group, node, low, high, many, rest = rows
+        token, group, node, low, high, many, rest, before = rows
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])  # a union has a token once,
         rest = np.maximum.reduceat(rest, np.flatnonzero(new))  # at its earliest place
-        token, group, node, low, high, many = (x[new] for x in (token, group, node, low, high, many))
+        token, group, node, low, high, many, before = (x[new] for x in (token, group, node, low, high, many, before))
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(first, len(token)))
         for a, n in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
             for i in range(a, a + n - 1):  # one against those after it
                 j = np.arange(i + 1, a + n)
                 j = j[(group[j] != group[i]) & (high[j] * 100 >= low[i] * PERCENT) & (high[i] * 100 >= low[j] * PERCENT)]
+                seed = np.minimum(rest[i], rest[j]) >= _least_shared(low[i], low[j])
+                first_shared = seed & ((before[j] != before[i]) | (before[i] == token[i]))
+                told = many[i] | many[j] | first_shared
+                j, seed = j[told], seed[told]
                 if len(j):
                     need = _group_need(low[i], high[i], low[j], high[j])
-                    seed = np.minimum(rest[i], rest[j]) >= _least_shared(low[i], low[j])
                     yield np.full(len(j), node[i]), node[j], need, seed, many[i] | many[j]
 
     def out(found: list) -> pa.RecordBatch:
@@ -224,7 +232,8 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+        # Without ``before`` each token counts as a set's first.
+        now = [batch.column(i).to_numpy(zero_copy_only=False) for i in (*range(7), 7 if batch.num_columns > 7 else 0)]
         now = [x.astype(np.int64) if x.dtype == np.int32 else x for x in now]
         now = now if held is None else [np.concatenate(both) for both in zip(held, now, strict=True)]
         cut = int(np.searchsorted(now[0], now[0][-1]))  # the last token may go on in the next batch
@@ -240,6 +249,15 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(found)
 
 
+def _shared_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, need, x, y) to the pairs whose prefixes x and y share at least ``need`` tokens, with their number."""
+    for batch in batches:
+        both = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True)) for x, y in zip(batch.column(3), batch.column(4), strict=True)]
+        count = np.array(both, np.int64)
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.zeros(len(count), bool)), pa.array(count)], names=["a", "b", "many", "c"])
+        yield out.filter(pa.array(count >= batch.column(2).to_numpy()))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """A written table, for every task if it has few rows; else joined as it comes."""
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
@@ -278,30 +296,30 @@ class Join:
 
     def __init__(self, rows: DataFrame, size: int):
         self.rows, self.size = rows, size
-        features = scratch(rows.mapInArrow(_feature_rows(size), _FEATURES))
+        features = written(rows.mapInArrow(_feature_rows(size), _FEATURES))
         self.docs = features.filter("n is not null").select("id", "n", "f1", "f2", "keys")
         self.counts = features.filter("token is not null").groupBy("token").agg(F.sum("count").alias("count"))
         sets = self.docs.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
         # Numbered once and written: 64 bits name a set without chance.
-        self.nodes = scratch(sets.withColumn("node", F.monotonically_increasing_id()))
+        self.nodes = written(sets.withColumn("node", F.monotonically_increasing_id()))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the (a, b) node pairs that link."""
-        pairs = scratch(pairs.select("a", "b").distinct())
+        pairs = written(pairs.select("a", "b").distinct())
         if pairs.isEmpty():
             return self.rows.sparkSession.createDataFrame([], "a long, b long")
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = _small(scratch(self.nodes.join(ends, "node").select("node", "f1", "f2", "id")))
+        wanted = _small(written(self.nodes.join(ends, "node").select("node", "f1", "f2", "id")))
         texts = self.rows.join(wanted.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
-        sets = scratch(texts.select("node", "f1", "f2", "text").mapInArrow(_wanted_sets(self.size), "node long, tokens binary"))
+        sets = written(texts.select("node", "f1", "f2", "text").mapInArrow(_wanted_sets(self.size), "node long, tokens binary"))
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-        return scratch(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct())
+        return written(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct())
 
     def stars(self) -> DataFrame:
         """Links of nodes with the centre of a bucket of equal min-hashes."""
         bands = self.nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
         shared = bands.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
-        bands = scratch(bands.join(shared, ["band", "key"]))
+        bands = written(bands.join(shared, ["band", "key"]))
         central = bands.groupBy("node").agg(F.sum("size").alias("weight"))
         centre = bands.join(central, "node").groupBy("band", "key").agg(F.max_by(F.struct("node", "n"), F.struct("weight", -F.col("node"))).alias("c"))
         pairs = bands.join(centre, ["band", "key"]).filter((F.col("node") != F.col("c.node")) & similar_sizes(F.col("n"), F.col("c.n")))
@@ -317,7 +335,7 @@ class Join:
         found = self.rows.mapInArrow(_prefix_rows(self.size, order), "id long, n int, f1 long, f2 long, tokens binary")
         nodes = self.nodes.join(group, "node", "left").select("node", F.coalesce("grp", "node").alias("grp"), "n", "f1", "f2", F.col("id").alias("of"))
         # A node's tokens come from the documents of its least id; the others with the set fall out here.
-        return scratch(found.join(nodes, ["n", "f1", "f2"]).filter(F.col("id").eqNullSafe(F.col("of"))).select("node", "n", "grp", "tokens"))
+        return written(found.join(nodes, ["n", "f1", "f2"]).filter(F.col("id").eqNullSafe(F.col("of"))).select("node", "n", "grp", "tokens"))
 
     def meetings(self, rows: DataFrame) -> DataFrame:
         """(grp, node, low, high, many, n, tokens) to the pairs (a, b) that share enough prefix tokens. Pairs are
@@ -325,8 +343,13 @@ class Join:
         tokens = rows.select("grp", "node", "low", "high", "many", "n", "tokens").mapInArrow(_explode, _ROWS)
         dealt = tokens.repartition("token").sortWithinPartitions("token", "node")
         met = dealt.mapInArrow(_meetings, "a long, b long, need int, seed boolean, many boolean").groupBy("a", "b")
-        met = met.agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("need").alias("need"), F.max("many").alias("many"))
-        return met.filter("seed and c >= need").select("a", "b", "many")
+        met = written(met.agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("need").alias("need"), F.max("many").alias("many")))
+        groups = met.filter("many and seed and c >= need").select("a", "b", "many", "c")
+        # Two single nodes have met once, so their prefixes are counted now.
+        of = lambda x, y: rows.filter("not many").select(F.col("node").alias(x), F.col("tokens").alias(y))
+        single = met.filter("not many").select("a", "b", "need").join(of("a", "x"), "a").join(of("b", "y"), "b")
+        single = single.select("a", "b", "need", "x", "y").mapInArrow(_shared_enough, "a long, b long, many boolean, c long")
+        return groups.unionAll(single)
 
     def named(self) -> DataFrame:
         """The nodes with the component of each, itself where nothing links with it."""
@@ -335,40 +358,67 @@ class Join:
     def components(self) -> DataFrame:
         """(node, component) for the nodes that have a link."""
         star = self.stars()
-        group = scratch(star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("grp")))
+        group = written(star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("grp")))
         prefixes = self.prefixes(group)
         # Groups that hold more than the node they are named for: their sizes. The others are their own low and high. A
         # name may itself stand in another group: what is compared under it is then none of the members.
         others = F.max(F.col("node") != F.col("grp")).alias("others")
         wide = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), others).filter("others").drop("others")
-        sized = prefixes.join(_small(scratch(wide)), "grp", "left").withColumn("many", F.col("low").isNotNull())
+        sized = prefixes.join(_small(written(wide)), "grp", "left").withColumn("many", F.col("low").isNotNull())
         sized = sized.withColumns({"low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")})
         # Each group's union of prefix tokens: the group stands as its own node.
-        open_ = scratch(self.meetings(sized.withColumn("node", F.col("grp"))))
+        open_ = written(self.meetings(sized.withColumn("node", F.col("grp"))))
         links = star.unionAll(self.links(open_))
-        found = components(links)
+        found = written(components(links))
         # Groups with other members than their name that are still apart.
         label = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
         apart = open_.filter("many").join(label("a"), "a", "left").join(label("b"), "b", "left")
-        apart = scratch(apart.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
+        apart = written(apart.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
         if apart.isEmpty():
             return found
         grps = apart.select(F.col("a").alias("grp")).unionAll(apart.select(F.col("b").alias("grp"))).distinct()
-        members = prefixes.join(_small(scratch(grps)), "grp").withColumns({"low": F.col("n"), "high": F.col("n"), "many": F.lit(False)})
-        members = scratch(members)
+        members = prefixes.join(_small(written(grps)), "grp").withColumns({"low": F.col("n"), "high": F.col("n"), "many": F.lit(False)})
+        members = written(members)
         met = self.meetings(members)
         of = lambda x: members.select(F.col("node").alias(x), F.col("grp").alias(f"grp_{x}"))
         met = met.join(of("a"), "a").join(of("b"), "b")
         pair = apart.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
         met = met.withColumns({"low": F.least("grp_a", "grp_b"), "high": F.greatest("grp_a", "grp_b")}).join(pair, ["low", "high"], "left_semi")
-        return components(links.unionAll(self.links(met)))
+        return self.merged(found, met.select("a", "b", "c"))
+
+    def merged(self, found: DataFrame, met: DataFrame) -> DataFrame:
+        """(node, component) after the links among the (a, b, c) pairs. One link joins two components, so of
+        each two the pair that shares most is compared first, and labels are renewed; the rest of those still apart follows."""
+        best = True
+        while True:
+            label = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: E731,B023
+            named = met.select("a", "b", "c").join(label("a"), "a", "left").join(label("b"), "b", "left")
+            named = named.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}).filter("of_a <> of_b")
+            met = written(named.select("a", "b", "c", F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high")))
+            if met.isEmpty():
+                return found
+            ask = met.groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), F.struct("c", -F.col("a"), -F.col("b"))).alias("p")).select("p.*") if best else met
+            linked = self.links(ask)
+            joined = linked.join(label("a"), "a", "left").join(label("b"), "b", "left")
+            edges = written(joined.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).distinct())
+            if not edges.isEmpty():
+                found = written(_renewed(found, components(edges)))
+            if not best:
+                return found
+            best = False
+
+def _renewed(found: DataFrame, over: DataFrame) -> DataFrame:
+    """(node, component) with the components of ``over``, whose nodes are components of ``found`` or nodes that have none."""
+    now = over.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    old = found.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return old.unionAll(over.join(found, "node", "left_anti").select("node", "component")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in (a, b) links: the least node reachable. Alternating large and small stars, each
     round written; a node's neighbours are never gathered, only their minimum."""
     least, greatest = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    edges = scratch(links.select(least, greatest).filter("a < b").distinct())
+    edges = written(links.select(least, greatest).filter("a < b").distinct())
     state = None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -377,7 +427,8 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         joined = large.join(low, "b")
         small = joined.filter("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")).unionAll(low.select(F.col("m").alias("a"), "b"))
-        edges = scratch(small.distinct())
+        last, edges = edges, written(small.distinct())
+        forget(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -391,25 +442,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     named = join.named()
     # A component's id is its least document id.
     by_id = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_set = scratch(named.join(by_id, "component").select("n", "f1", "f2", "component_id"))
+    of_set = written(named.join(by_id, "component").select("n", "f1", "f2", "component_id"))
     out = join.docs.join(of_set, ["n", "f1", "f2"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``docs`` with, of each component, only the document of the least id. Of rows with equal ids one stays, so this is for
-    ids that name one text each (``one_row_of_each`` for others); rows with a null id stay. What travels is the list of ids to drop, not the documents."""
-    found = jaccard_components(docs, id_col=id_col, text_col=text_col, size=size)
-    ids = found.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__of")).filter("__id is not null")
-    dropped = scratch(ids.groupBy("__id").agg(F.min("__of").alias("__of"), F.count("*").alias("__n")).filter("__of <> __id or __n > 1"))
-    same = F.col(id_col).cast("long") == F.col("__id")
-    once = docs.join(_small(dropped.select("__id")), same, "left_anti")
-    again = dropped.filter("__of = __id").select("__id")
-    if again.isEmpty():
-        return once
-    return once.unionAll(docs.join(_small(again), same, "left_semi").dropDuplicates([id_col]))
-
-
 def _marked(size: int, at: int):
     """Rows with the text in column ``at``, and the size and fingerprint of their sets."""
 
@@ -432,10 +469,10 @@ def one_row_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     first = F.min(F.struct("id", "n", "f1", "f2")).alias("first")
     least = named.filter("id is not null").groupBy("component").agg(first)
     same_set = (F.col("n") == F.col("first.n")) & (F.col("f1") == F.col("first.f1")) & (F.col("f2") == F.col("first.f2"))
-    of_set = scratch(named.join(least, "component").select("n", "f1", "f2", F.when(same_set, F.col("first.id")).alias("first")))
+    of_set = written(named.join(least, "component").select("n", "f1", "f2", F.when(same_set, F.col("first.id")).alias("first")))
     stays = (F.col("n") == 0) | F.coalesce(F.col("id") == F.col("first"), F.lit(False))
     rows = join.docs.filter("id is not null").join(of_set, ["n", "f1", "f2"], "left").select(F.col("id").alias("__id"), "n", "f1", "f2", stays.alias("stays"))
-    dropped = scratch(rows.groupBy("__id").agg(F.max("stays").alias("some"), F.count("*").alias("c")).filter("not some or c > 1"))
+    dropped = written(rows.groupBy("__id").agg(F.max("stays").alias("some"), F.count("*").alias("c")).filter("not some or c > 1"))
     same = F.col(id_col).cast("long") == F.col("__id")
     once = docs.join(_small(dropped.select("__id")), same, "left_anti")
     again = dropped.filter("some").select("__id")
@@ -447,7 +484,7 @@ def one_row_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     marked = docs.join(again, same, "left_semi").mapInArrow(_marked(size, docs.columns.index(text_col)), schema)
     marked = marked.withColumns({"__id": F.col(id_col).cast("long"), "__text": F.when(F.col("__n") == 0, F.col(text_col))})
     kept = [F.col("__id") == F.col("__of"), *(F.col(f"__{c}") == F.col(f"__of_{c}") for c in ("n", "f1", "f2"))]
-    marked = marked.join(_small(scratch(sets)), kept, "left_semi")
+    marked = marked.join(_small(written(sets)), kept, "left_semi")
     return once.unionAll(marked.dropDuplicates(["__id", "__n", "__f1", "__f2", "__text"]).select(*docs.columns))
 
 
