@@ -313,7 +313,9 @@ class Join:
         texts = self.rows.join(wanted.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
         sets = written(texts.select("node", "f1", "f2", "text").mapInArrow(_wanted_sets(self.size), "node long, tokens binary"))
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-        return written(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct())
+        found = written(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct())
+        forget(sets)
+        return found
 
     def stars(self) -> DataFrame:
         """Links of nodes with the centre of a bucket of equal min-hashes."""
@@ -323,7 +325,9 @@ class Join:
         central = bands.groupBy("node").agg(F.sum("size").alias("weight"))
         centre = bands.join(central, "node").groupBy("band", "key").agg(F.max_by(F.struct("node", "n"), F.struct("weight", -F.col("node"))).alias("c"))
         pairs = bands.join(centre, ["band", "key"]).filter((F.col("node") != F.col("c.node")) & similar_sizes(F.col("n"), F.col("c.n")))
-        return self.links(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")))
+        found = self.links(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")))
+        forget(bands)
+        return found
 
     def prefixes(self, group: DataFrame) -> DataFrame:
         """(node, n, grp, tokens) of every node, written."""
