@@ -131,6 +131,29 @@ def test_join_equals_all_pairs_on_chains(spark):
     assert by_row(jaccard_join.jaccard_components(docs_of(spark, pairs)).collect()) == brute_components(pairs)
 
 
+def test_join_compares_few_pairs_of_a_large_family(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    pairs = list(enumerate(family(rnd, base, 240, 4), 10))
+    made, links, meetings, met = [], jaccard_join.Join.links, jaccard_join._meetings, spark.sparkContext.accumulator(0)
+
+    def counted_links(join, pairs):
+        pairs = pairs.select("a", "b").distinct().cache()
+        made.append(pairs.count())
+        return links(join, pairs)
+
+    def counted_rows(rows):
+        for out in meetings(rows):
+            met.add(out.num_rows)
+            yield out
+
+    monkeypatch.setattr(jaccard_join.Join, "links", counted_links)
+    monkeypatch.setattr(jaccard_join, "_meetings", counted_rows)
+    got = by_row(jaccard_join.jaccard_components(docs_of(spark, pairs)).collect())
+    assert got == brute_components(pairs)
+    assert sum(made) < 10 * len(pairs) and met.value < 10 * len(pairs), (made, met.value)  # of 28,680 pairs
+
+
 def test_join_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     pairs = [(1, "one two three four five six"), (1, "one two three four five six"), (None, "one two three four five six"), (None, "quite alone here"), (5, None), (5, ""), (None, None), (7, long), (8, long + " end"), (9, "x"), (9, "y"), (3, "y")]

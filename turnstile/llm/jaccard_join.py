@@ -5,19 +5,21 @@ Two documents link when their sets' Jaccard similarity reaches ``PERCENT`` / 100
 component. All links between different sets are found, none is taken on a guess:
 
 1. *Sets.* Equal sets (128-bit fingerprint) become one node, so copies are never paired.
-2. *Groups.* Nodes with a common min-hash are compared with the most central node of their bucket; those that
-   link join its group, a connected star. Everything else is a group of its own.
+2. *Groups.* A set's least hash in each of ``BINS`` equal ranges is its sketch (one permutation for all ranges). Nodes with
+   a value in common are compared with the most central node of those that have it, where their sketches agree enough; the
+   components of the links are groups. Everything else is a group of its own.
 3. *Matrix.* Of each node the n - ceil(0.8 n) + 1 first tokens in one order for all (frequent tokens last) are its prefix;
    nodes that link share a prefix token. The matrix holds each group's union of prefix tokens, one row
    for each (token, group), dealt by token. Groups that meet on a token are counted: the tokens that two unions share
    bound the overlap of any two members. Pairs below what their members' sizes need never are opened.
-4. *Opening.* For the others first the two centres are compared: one link joins the groups. Groups still apart that hold
-   other nodes than their centre are opened: their members' prefixes are counted likewise, pair by pair. Of what passes the
-   pair that shares most is compared first for each two components, then, with labels renewed, the rest of those still apart.
-   Two single nodes are paired where they may share their first token, not on each that they share.
+4. *Opening.* Two single nodes are compared if they pass. Larger groups still apart are opened: their members are paired
+   likewise, with those of other groups only. Two nodes are paired where they may share their first token, not on each that
+   they share; then their shared prefix tokens are counted, and the bits that an odd number of a set's tokens fall on bound
+   from below how many tokens only one has. Of what passes the pair that shares most is compared first for each
+   two components, then, with labels renewed, the rest of those still apart.
 
 Comparisons fetch just the documents they need and count shared shingles exactly (64-bit hashes of shingles).
-Large components cost what their stars cost, not their pairs. The list of frequent tokens (``FREQUENT``
+Large components cost what their stars cost, not their pairs; sketches only choose what is compared early. The list of frequent tokens (``FREQUENT``
 at most) decides the order only, never the result. Driver: counts, nothing else.
 
 Null and empty texts have an empty set and link with nothing. Rows with equal ids and different texts are documents of
@@ -38,13 +40,17 @@ from pyspark.sql import types as T
 from .common import WordHashes, forget, mix, prefix_hash, read, span_hash, written
 
 SHINGLE, PERCENT = 5, 80
-BANDS = 6
+#: Ranges of the sketch, and the share of them in which a node and a centre agree at least to be compared early.
+BINS, AGREE = 32, 0.6
+#: Bits of a set: whether an odd number of its tokens fall on each.
+ODD = 512
 #: Frequent tokens that the order knows: the most frequent of those met SEEN times in a task's LOOK tokens.
 FREQUENT, SEEN, LOOK = 1 << 17, 3, 1_000_000
 #: Rows up to which a list of wanted documents is sent to every task instead of shuffling the documents.
 SMALL = 200_000
 GROUP_WORDS = 200_000
-_SEEDS = [int(x) | 1 for x in np.random.default_rng(11).integers(1 << 62, 1 << 63, BANDS + 2)]
+_SEEDS = [int(x) | 1 for x in np.random.default_rng(11).integers(1 << 62, 1 << 63, 2)]
+_BIN_STARTS = np.arange(BINS, dtype=np.uint64) * np.uint64((1 << 64) // BINS)
 
 
 def _sets(texts: Iterable[str | None], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
@@ -82,10 +88,18 @@ def _texts(column: pa.Array) -> Iterator[str | None]:
 
 def _fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
-        return tuple(int(mix(tokens * np.uint64(s)).sum(dtype=np.uint64).view(np.int64)) for s in _SEEDS[:2])
+        return tuple(int(mix(tokens * np.uint64(s)).sum(dtype=np.uint64).view(np.int64)) for s in _SEEDS)
 
 
-_FEATURES = "id long, n int, f1 long, f2 long, keys array<long>, token long, count long"
+def _sketches(starts: list[np.ndarray], values: list[np.ndarray]) -> pa.Array:
+    """Of each set 32 bits of its least token in each range, null where it has none there."""
+    at = np.array(starts, np.int64).reshape(-1, BINS + 1)
+    keys = np.array(values, np.int32).reshape(-1, BINS)
+    empty = at[:, :-1] == at[:, 1:]
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BINS), pa.array(keys.ravel(), pa.int32(), mask=empty.ravel()))
+
+
+_FEATURES = "id long, n int, f1 long, f2 long, keys array<int>, token long, count long"
 
 
 def _feature_rows(size: int):
@@ -101,22 +115,23 @@ def _feature_rows(size: int):
 
         def batch_of(**given) -> pa.RecordBatch:
             rows = len(next(iter(given.values())))
-            kinds = dict(id=pa.int64(), n=pa.int32(), f1=pa.int64(), f2=pa.int64(), keys=pa.list_(pa.int64()), token=pa.int64(), count=pa.int64())
+            kinds = dict(id=pa.int64(), n=pa.int32(), f1=pa.int64(), f2=pa.int64(), keys=pa.list_(pa.int32()), token=pa.int64(), count=pa.int64())
             return pa.RecordBatch.from_arrays([given[k] if isinstance(given.get(k), pa.Array) else pa.array(given[k], kind) if k in given else pa.nulls(rows, kind) for k, kind in kinds.items()], names=list(kinds))
 
         for batch in batches:
-            n, f1, f2, keys = [], [], [], []
+            n, f1, f2, starts, keys = [], [], [], [], []
             for tokens in _sets(_texts(batch.column(1)), hashes, size):
                 a, b = _fingerprint(tokens)
                 n.append(len(tokens)), f1.append(a), f2.append(b)
-                with np.errstate(over="ignore"):
-                    keys.append([int(mix(tokens * np.uint64(s)).min().view(np.int64)) for s in _SEEDS[2:]] if len(tokens) else [])
+                at = np.searchsorted(tokens, _BIN_STARTS)
+                least = tokens[np.minimum(at, len(tokens) - 1)] if len(tokens) else _BIN_STARTS
+                starts.append(np.append(at, len(tokens))), keys.append((least >> np.uint64(16)).astype(np.uint32).view(np.int32))
                 seen.append(tokens)
                 total += len(tokens)
                 if total >= LOOK:
                     yield frequent()
                     seen, total = [], 0
-            yield batch_of(id=batch.column(0), n=n, f1=f1, f2=f2, keys=keys)
+            yield batch_of(id=batch.column(0), n=n, f1=f1, f2=f2, keys=_sketches(starts, keys))
         if seen:
             yield frequent()
 
@@ -129,7 +144,7 @@ def prefix_length(n: int) -> int:
 
 
 def _prefix_rows(size: int, order):
-    """(id, n, f1, f2, prefix tokens) of each document with words; sets that a task has just seen are left out."""
+    """(id, n, f1, f2, prefix tokens, odd bits) of each document with words; sets that a task has just seen are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = order.value
@@ -146,12 +161,13 @@ def _prefix_rows(size: int, order):
                 if (doc, a, b) in seen:
                     continue
                 seen.add((doc, a, b))
+                odd = np.packbits(np.bincount((tokens % np.uint64(ODD)).astype(np.int64), minlength=ODD) & 1 == 1)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     tokens = tokens[np.argsort(np.where(known[at] == tokens, rank[at], 0), kind="stable")]
-                rows.append((doc, len(tokens), a, b, tokens[: prefix_length(len(tokens))].tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["id", "n", "f1", "f2", "tokens"])
+                rows.append((doc, len(tokens), a, b, tokens[: prefix_length(len(tokens))].tobytes(), odd.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["id", "n", "f1", "f2", "tokens", "odd"])
 
     return run
 
@@ -199,9 +215,9 @@ def _group_need(low_a, high_a, low_b, high_b):
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order (token, node) to the pairs of nodes of different groups on each token whose sizes may link:
-    with the tokens that they need to share, and whether this one may be their first. A group's members have sizes from
-    low to high, and its pairs are counted token by token. Two single nodes are paired only where this may be the first
-    token that they share: enough tokens follow in both, and different ones (or none) precede it."""
+    with the tokens that they need to share, whether this one may be their first, and their groups. A group's members have
+    sizes from low to high, and its pairs are counted token by token. Two single nodes are paired only where this may be the
+    first token that they share: enough tokens follow in both, and different ones (or none) precede it."""
 
     def pairs(rows: list[np.ndarray]):
         token, group, node, low, high, many, rest, before = rows
@@ -221,11 +237,12 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 j, seed = j[told], seed[told]
                 if len(j):
                     need = _group_need(low[i], high[i], low[j], high[j])
-                    yield np.full(len(j), node[i]), node[j], need, seed, many[i] | many[j]
+                    yield np.full(len(j), node[i]), node[j], need, seed, many[i] | many[j], np.full(len(j), group[i]), group[j]
 
     def out(found: list) -> pa.RecordBatch:
-        a, b, need, seed, many = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(need.astype(np.int32)), pa.array(seed), pa.array(many)], names=["a", "b", "need", "seed", "many"])
+        a, b, need, seed, many, grp_a, grp_b = (np.concatenate(x) for x in zip(*found, strict=True))
+        columns = [a, b, need.astype(np.int32), seed, many, grp_a, grp_b]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "need", "seed", "many", "grp_a", "grp_b"])
 
     held: list[np.ndarray] | None = None
     found, rows = [], 0
@@ -250,12 +267,16 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, need, x, y) to the pairs whose prefixes x and y share at least ``need`` tokens, with their number."""
+    """(a, b, need, x, y, n_x, n_y, odd_x, odd_y) to the pairs that may link, with the number of tokens that their prefixes x
+    and y share: ``need`` at least, and the bits in which odd_x and odd_y differ are no more than tokens that only one has."""
     for batch in batches:
         both = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True)) for x, y in zip(batch.column(3), batch.column(4), strict=True)]
         count = np.array(both, np.int64)
-        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.zeros(len(count), bool)), pa.array(count)], names=["a", "b", "many", "c"])
-        yield out.filter(pa.array(count >= batch.column(2).to_numpy()))
+        n_x, n_y = (batch.column(i).to_numpy().astype(np.int64) for i in (5, 6))
+        odd_x, odd_y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, ODD // 8) for i in (7, 8))
+        differ = np.bitwise_count(odd_x ^ odd_y).sum(axis=1, dtype=np.int64)
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count)], names=["a", "b", "c"])
+        yield out.filter(pa.array((count >= batch.column(2).to_numpy()) & (differ <= n_x + n_y - 2 * _least_shared(n_x, n_y))))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -318,42 +339,54 @@ class Join:
         return found
 
     def stars(self) -> DataFrame:
-        """Links of nodes with the centre of a bucket of equal min-hashes."""
-        bands = self.nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
-        shared = bands.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
-        bands = written(bands.join(shared, ["band", "key"]))
-        central = bands.groupBy("node").agg(F.sum("size").alias("weight"))
-        centre = bands.join(central, "node").groupBy("band", "key").agg(F.max_by(F.struct("node", "n"), F.struct("weight", -F.col("node"))).alias("c"))
-        pairs = bands.join(centre, ["band", "key"]).filter((F.col("node") != F.col("c.node")) & similar_sizes(F.col("n"), F.col("c.n")))
-        found = self.links(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")))
-        forget(bands)
+        """Links of nodes with the centre of those that have a value of the sketch in common with them."""
+        values = self.nodes.select("node", F.posexplode("keys").alias("bin", "value")).filter("value is not null")
+        values = values.select("node", (F.col("bin").cast("long") * (1 << 32) + F.col("value")).alias("key"))
+        shared = values.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+        values = written(values.join(shared, "key"))
+        central = values.groupBy("node").agg(F.sum("size").alias("weight"))
+        centre = values.join(central, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("c"))
+        pairs = values.join(centre, "key").filter("node <> c").select(F.col("node").alias("a"), F.col("c").alias("b"))
+        pairs = written(pairs.distinct())
+        forget(values)
+        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+        ends = written(self.nodes.join(_small(written(ends)), "node").select("node", "n", "keys"))
+        of = lambda x: ends.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("keys").alias(f"keys_{x}"))
+        alike = F.size(F.filter(F.zip_with("keys_a", "keys_b", lambda x, y: x == y), lambda x: x))
+        either = F.size(F.filter(F.zip_with("keys_a", "keys_b", lambda x, y: F.coalesce(x, y)), lambda x: x.isNotNull()))
+        both = pairs.join(of("a"), "a").join(of("b"), "b").filter(similar_sizes(F.col("n_a"), F.col("n_b")) & (alike >= AGREE * either))
+        found = self.links(both)
+        forget(ends)
         return found
 
     def prefixes(self, group: DataFrame) -> DataFrame:
-        """(node, n, grp, tokens) of every node, written."""
+        """(node, n, grp, tokens, odd) of every node, written."""
         top = self.counts.orderBy(F.desc("count"), "token").limit(FREQUENT).collect()  # at most FREQUENT numbers
         known = np.array([r["token"] for r in top], np.int64).view(np.uint64)
         rank = np.log2(np.array([r["count"] for r in top], float) + 1).astype(np.int32) if top else np.zeros(0, np.int32)
         by = np.argsort(known)
         order = self.rows.sparkSession.sparkContext.broadcast((known[by], rank[by]))
-        found = self.rows.mapInArrow(_prefix_rows(self.size, order), "id long, n int, f1 long, f2 long, tokens binary")
+        found = self.rows.mapInArrow(_prefix_rows(self.size, order), "id long, n int, f1 long, f2 long, tokens binary, odd binary")
         nodes = self.nodes.join(group, "node", "left").select("node", F.coalesce("grp", "node").alias("grp"), "n", "f1", "f2", F.col("id").alias("of"))
         # A node's tokens come from the documents of its least id; the others with the set fall out here.
-        return written(found.join(nodes, ["n", "f1", "f2"]).filter(F.col("id").eqNullSafe(F.col("of"))).select("node", "n", "grp", "tokens"))
+        return written(found.join(nodes, ["n", "f1", "f2"]).filter(F.col("id").eqNullSafe(F.col("of"))).select("node", "n", "grp", "tokens", "odd"))
 
     def meetings(self, rows: DataFrame) -> DataFrame:
-        """(grp, node, low, high, many, n, tokens) to the pairs (a, b) that share enough prefix tokens. Pairs are
-        counted and bounded as they are made; only what passes is joined with anything."""
+        """(grp, node, low, high, many, n, tokens) to the pairs (a, b) that meet, written: counted and bounded as they
+        are made; only what passes is joined with anything."""
         tokens = rows.select("grp", "node", "low", "high", "many", "n", "tokens").mapInArrow(_explode, _ROWS)
         dealt = tokens.repartition("token").sortWithinPartitions("token", "node")
-        met = dealt.mapInArrow(_meetings, "a long, b long, need int, seed boolean, many boolean").groupBy("a", "b")
-        met = written(met.agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("need").alias("need"), F.max("many").alias("many")))
-        groups = met.filter("many and seed and c >= need").select("a", "b", "many", "c")
-        # Two single nodes have met once, so their prefixes are counted now.
-        of = lambda x, y: rows.filter("not many").select(F.col("node").alias(x), F.col("tokens").alias(y))
-        single = met.filter("not many").select("a", "b", "need").join(of("a", "x"), "a").join(of("b", "y"), "b")
-        single = single.select("a", "b", "need", "x", "y").mapInArrow(_shared_enough, "a long, b long, many boolean, c long")
-        return groups.unionAll(single)
+        met = dealt.mapInArrow(_meetings, "a long, b long, need int, seed boolean, many boolean, grp_a long, grp_b long").groupBy("a", "b")
+        most = [F.max(c).alias(c) for c in ("seed", "need", "many", "grp_a", "grp_b")]
+        return written(met.agg(F.count("*").alias("c"), *most))
+
+    def sharing(self, met: DataFrame, rows: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b, need) of single nodes that may link by their prefixes and odd bits in ``rows``, with the
+        number of prefix tokens shared: they have met on one token only, so these are counted now."""
+        of = lambda x, y: rows.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{y}") for c in ("tokens", "n", "odd")))
+        both = met.select("a", "b", "need").join(of("a", "x"), "a").join(of("b", "y"), "b")
+        both = both.select("a", "b", "need", "tokens_x", "tokens_y", "n_x", "n_y", "odd_x", "odd_y")
+        return both.mapInArrow(_shared_enough, "a long, b long, c long")
 
     def named(self) -> DataFrame:
         """The nodes with the component of each, itself where nothing links with it."""
@@ -361,34 +394,29 @@ class Join:
 
     def components(self) -> DataFrame:
         """(node, component) for the nodes that have a link."""
-        star = self.stars()
-        group = written(star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("grp")))
-        prefixes = self.prefixes(group)
-        # Groups that hold more than the node they are named for: their sizes. The others are their own low and high. A
-        # name may itself stand in another group: what is compared under it is then none of the members.
+        found = written(components(self.stars()))
+        prefixes = self.prefixes(found.select("node", F.col("component").alias("grp")))
+        # Groups that hold more than the node they are named for: their sizes. The others are their own low and high.
         others = F.max(F.col("node") != F.col("grp")).alias("others")
         wide = prefixes.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), others).filter("others").drop("others")
         sized = prefixes.join(_small(written(wide)), "grp", "left").withColumn("many", F.col("low").isNotNull())
         sized = sized.withColumns({"low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")})
         # Each group's union of prefix tokens: the group stands as its own node.
-        open_ = written(self.meetings(sized.withColumn("node", F.col("grp"))))
-        links = star.unionAll(self.links(open_))
-        found = written(components(links))
-        # Groups with other members than their name that are still apart.
+        met = self.meetings(sized.withColumn("node", F.col("grp")))
+        single = self.sharing(met.filter("not many"), sized.filter("not many"))
+        # No link has found single nodes before.
+        found = written(found.unionAll(components(self.links(single))))
         label = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
-        apart = open_.filter("many").join(label("a"), "a", "left").join(label("b"), "b", "left")
-        apart = written(apart.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
+        groups = met.filter("many and seed and c >= need").join(label("a"), "a", "left").join(label("b"), "b", "left")
+        apart = written(groups.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
         if apart.isEmpty():
             return found
         grps = apart.select(F.col("a").alias("grp")).unionAll(apart.select(F.col("b").alias("grp"))).distinct()
         members = prefixes.join(_small(written(grps)), "grp").withColumns({"low": F.col("n"), "high": F.col("n"), "many": F.lit(False)})
         members = written(members)
-        met = self.meetings(members)
-        of = lambda x: members.select(F.col("node").alias(x), F.col("grp").alias(f"grp_{x}"))
-        met = met.join(of("a"), "a").join(of("b"), "b")
         pair = apart.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
-        met = met.withColumns({"low": F.least("grp_a", "grp_b"), "high": F.greatest("grp_a", "grp_b")}).join(pair, ["low", "high"], "left_semi")
-        return self.merged(found, met.select("a", "b", "c"))
+        met = self.meetings(members).withColumns({"low": F.least("grp_a", "grp_b"), "high": F.greatest("grp_a", "grp_b")})
+        return self.merged(found, self.sharing(met.join(pair, ["low", "high"], "left_semi"), members))
 
     def merged(self, found: DataFrame, met: DataFrame) -> DataFrame:
         """(node, component) after the links among the (a, b, c) pairs. One link joins two components, so of
@@ -411,6 +439,7 @@ class Join:
                 return found
             best = False
 
+
 def _renewed(found: DataFrame, over: DataFrame) -> DataFrame:
     """(node, component) with the components of ``over``, whose nodes are components of ``found`` or nodes that have none."""
     now = over.select(F.col("node").alias("component"), F.col("component").alias("now"))
