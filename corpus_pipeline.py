@@ -14,13 +14,17 @@ rows with a null id all stay.
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm import bpe, decontaminate, jaccard_join, pii, quality
-from turnstile.llm.common import read, scratch_dir
+from turnstile.llm.common import read, scratch_dir, small_batches
+
+#: Characters in a block of the encoder: by the last stage the executors hold memory from the stages before.
+ENCODING_BLOCK = 2_000_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,16 +51,25 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    both = bpe.encode(docs, decoded=True)
+    both = bpe.encode(docs, decoded=True, block_chars=ENCODING_BLOCK)
     return both.select("doc_id", "text", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
 
 
+def _in_small_batches(stage):
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality", quality_stage),
-    ("near_duplicates", near_duplicates_stage),
-    ("decontamination", decontamination_stage),
-    ("personal_data", personal_data_stage),
-    ("encoding", encoding_stage),
+    ("quality", _in_small_batches(quality_stage)),
+    ("near_duplicates", _in_small_batches(near_duplicates_stage)),
+    ("decontamination", _in_small_batches(decontamination_stage)),
+    ("personal_data", _in_small_batches(personal_data_stage)),
+    ("encoding", _in_small_batches(encoding_stage)),
 ]
 
 #: SQL can express neither the classifier nor byte-pair encoding; tests compare with a brute-force version.

@@ -8,12 +8,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 from tokenizers import Tokenizer  # noqa: E402
 
+import corpus_pipeline  # noqa: E402
 from turnstile.llm import bpe, decontaminate, html_text, pii, quality, queries, token_count  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -88,6 +90,52 @@ def test_bpe_ids_and_round_trip_of_odd_rows(odd, none, library):
     assert bpe.decode(bpe.encode(none)).count() == 0
 
 
+def test_bpe_blocks_do_not_hold_their_batches(monkeypatch):
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(bpe, "TaskContext", Context)
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["x" * (1 << 20)])], names=["id", "text"])
+    held = []
+
+    def batches():
+        for _ in range(40):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield next(iter(pa.ipc.open_stream(sink.getvalue())))
+            held.append(pa.total_allocated_bytes())
+
+    blocks = list(bpe._blocks(batches(), 1 << 30))
+    assert [len(ids) for _, ids, *_ in blocks] == [40]
+    assert max(held) < held[0] + (8 << 20)
+
+
+def test_pipeline_reads_texts_in_small_batches(spark, monkeypatch):
+    batches, large = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    rows_of = bpe._word_rows
+
+    def counted(*args):
+        inside = rows_of(*args)
+
+        def run(given):
+            def seen():
+                for batch in given:
+                    batches.add(1)
+                    large.add(int(batch.nbytes > 12 << 20))
+                    yield batch
+
+            yield from inside(seen())
+
+        return run
+
+    monkeypatch.setattr(bpe, "_word_rows", counted)
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+    assert dict(corpus_pipeline.STAGES)["encoding"](spark, docs, SF).count() == 3000
+    assert batches.value and not large.value  # of 30 MB
+
+
 @pytest.mark.parametrize("chars", [1, 3000, 10**7])
 def test_bpe_blocks_of_any_size(spark, library, chars):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UNICODE_SPACE, read
+from .common import UNICODE_SPACE, hand_back, read
 from .token_count import byte_symbols
 
 BLOCK_CHARS = 6_000_000
@@ -83,6 +83,11 @@ def pieces_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(pieces(path))), "id int, piece binary")
 
 
+def _own(values: pa.Array) -> pa.Array:
+    """A copy: a slice would hold the memory of its whole batch, texts included."""
+    return pa.array(values.to_pylist(), values.type)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) -> Iterator[tuple[int, pa.Array, list[int], list[int], list[str]]]:
     """(key, document ids, words of each document, word positions, distinct words) of each block of (id, text) rows."""
     part, made = TaskContext.get().partitionId(), 0
@@ -110,12 +115,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) -> Itera
             content.update(text.encode("utf-8", "surrogatepass"))
             size += len(text) + 1
             if size >= most:
-                ids.append(batch.column(0).slice(start, i + 1 - start))
+                ids.append(_own(batch.column(0).slice(start, i + 1 - start)))
                 yield flush()
                 ids.clear(), lengths.clear()
                 size, start, seen = 0, i + 1, None
         if start < batch.num_rows:
-            ids.append(batch.column(0).slice(start))
+            ids.append(_own(batch.column(0).slice(start)))
     if seen is not None:
         yield flush()
 
@@ -138,6 +143,7 @@ def _loosened(value: bytes) -> tuple[np.ndarray, bytes]:
 
 def _word_rows(buckets: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         for key, _, _, _, words in _blocks(batches, most):
             raw = [w.encode("utf-8") for w in words]
             bucket = _bucket(raw, buckets)
@@ -166,6 +172,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _layout_rows(buckets: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         for key, ids, lengths, stream, words in _blocks(batches, most):
             bucket = _bucket([w.encode("utf-8") for w in words], buckets)
             whole = pa.ListArray.from_arrays([0, len(ids)], ids)
@@ -178,6 +185,7 @@ def _encode_buckets(path: str | None, name: str):
     """Rows in the order of their bucket to (block, bucket, ids): every distinct word is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         tokenizer = _tokenizer(path or public_tokenizers.path(name))
         kind = _id_type(tokenizer.get_vocab_size())
         current, table = None, {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 from collections.abc import Iterator
@@ -19,6 +21,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The same in Java's and RE2's regular expressions.
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 8 << 20
+
 _ODD = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
@@ -26,6 +30,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of some MB: a batch is held on both sides, and in each task, while it is read."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def hand_back() -> None:
+    """Give the system the free memory that a worker has kept from the tasks it ran before."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim is not None:
+        trim(0)
+
+
 def _shared(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of its own only where the session names none on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
