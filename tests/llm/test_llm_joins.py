@@ -176,6 +176,25 @@ def test_one_row_of_each_with_repeated_ids(spark):
     assert corpus_pipeline.near_duplicates_stage(spark, docs_of(spark, []), SF).count() == 0
 
 
+def test_jaccard_frequent_tokens_are_no_rows_of_the_driver(spark, monkeypatch):
+    """The order's list of frequent tokens comes as arrays; of everything else the driver sees counts."""
+    stem = " ".join(f"w{i}" for i in range(60))
+    pairs = [(i, f"{stem} " + " ".join(f"x{i}_{j}" for j in range(i % 5))) for i in range(30)]
+    frame, seen = type(spark.range(0)), []
+    collect = frame.collect
+
+    def counted(self):
+        out = collect(self)
+        seen.append(len(out))
+        return out
+
+    monkeypatch.setattr(frame, "collect", counted)
+    named = jaccard_join.jaccard_components(docs_of(spark, pairs))
+    monkeypatch.undo()
+    assert by_row(named.collect()) == brute_components(pairs)
+    assert max(seen, default=0) <= 1
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60, 100)]
     star = [(7, i) for i in range(8, 40)]

@@ -209,6 +209,31 @@ def test_quality_odd_rows(spark, odd, none):
     assert quality.score(none, model, score_col="other").count() == 0
 
 
+def test_quality_sample_is_held_compressed(spark):
+    """The driver holds what the tasks send, not arrays of all documents at once; what it trains on is the same."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(800)]
+    texts = {i: " ".join(rng.choice(words, 300)) for i in range(40)} | {40: "", 41: "a a"}
+    docs = spark.createDataFrame([*texts.items(), (0, texts[1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    sample = quality.sample_features(docs, labels, "doc_id", "text", "quality", 100, 1 << 30)
+    want = sorted(((str(i), i % 2, *quality.counted(t)) for i, t in [*texts.items(), (0, texts[1])]), key=lambda r: (r[0], r[2].tobytes()))
+    assert len(sample) == len(want) == 43
+    for (y, ids, n), (_, label, *counts) in zip(sample, want, strict=True):
+        assert y == label and ids.dtype == np.int32 and n.dtype == np.float32
+        assert np.array_equal(ids, counts[0]) and np.array_equal(n, counts[1])
+    assert 3 * sum(len(a) + len(b) for _, a, b in sample.rows) < sum(ids.nbytes + n.nbytes for _, ids, n in sample)
+    a, b = quality.train(sample), quality.train(list(sample))
+    assert a[1] == b[1] and np.array_equal(a[0], b[0]) and a[0].any()
+
+
+def test_bpe_driver_keeps_no_tokenizer(odd):
+    bpe._tokenizer.cache_clear()
+    bpe._vocab_size.cache_clear()
+    bpe.encode(odd)
+    assert bpe._tokenizer.cache_info().currsize == 0
+
+
 def levenshtein(item, text):
     last = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UNICODE_SPACE, hand_back, read
+from .common import UNICODE_SPACE, hand_back, packed, read, unpacked
 from .token_count import byte_symbols
 
 BLOCK_CHARS = 6_000_000
@@ -60,6 +60,14 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@functools.lru_cache(maxsize=2)
+def _vocab_size(path: str) -> int:
+    """The tokenizer itself is not kept: the driver needs only this number of it."""
+    size = _tokenizer.__wrapped__(path).get_vocab_size()
+    hand_back()
+    return size
+
+
 def pieces(path: str) -> list[bytes]:
     """The bytes of each id, special tokens included."""
     tokenizer = _tokenizer(path)
@@ -159,24 +167,13 @@ def _word_rows(buckets: int, most: int):
     return run
 
 
-def _packed(values: list[int] | np.ndarray) -> bytes:
-    """Byte planes of 32-bit integers, compressed: most words stand early in the block's list."""
-    planes = np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def _layout_rows(buckets: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hand_back()
         for key, ids, lengths, stream, words in _blocks(batches, most):
             bucket = _bucket([w.encode("utf-8") for w in words], buckets)
             whole = pa.ListArray.from_arrays([0, len(ids)], ids)
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), whole, *(pa.array([_packed(x)], pa.binary()) for x in (bucket, lengths, stream))], names=["block", "ids", "buckets", "lengths", "stream"])
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), whole, *(pa.array([packed(x)], pa.binary()) for x in (bucket, lengths, stream))], names=["block", "ids", "buckets", "lengths", "stream"])
 
     return run
 
@@ -229,7 +226,7 @@ def _join_back(kind: str, decoded: bool, path: str | None, name: str):
 
     def run(layouts: pa.Table, words: pa.Table) -> pa.Table:
         out = []
-        bucket = _unpacked(layouts.column("buckets")[0].as_py()) if layouts.num_rows == 1 else None
+        bucket = unpacked(layouts.column("buckets")[0].as_py()) if layouts.num_rows == 1 else None
         parts = [_loosened(words.column("ids")[int(i)].as_py()) for i in np.argsort(words.column("bucket").to_numpy())]
         sizes = np.concatenate([np.zeros(0, np.int64), *(s for s, _ in parts)]).astype(np.int64)
         if bucket is None or len(bucket) != len(sizes):
@@ -241,7 +238,7 @@ def _join_back(kind: str, decoded: bool, path: str | None, name: str):
         begin, size = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         begin[at], size[at] = np.cumsum(sizes) - sizes, sizes
         ids = layouts.column("ids").combine_chunks().flatten()
-        lengths, stream = _unpacked(layouts.column("lengths")[0].as_py()).astype(np.int64), _unpacked(layouts.column("stream")[0].as_py())
+        lengths, stream = unpacked(layouts.column("lengths")[0].as_py()).astype(np.int64), unpacked(layouts.column("stream")[0].as_py())
         ends = np.cumsum(lengths)
         # A few documents at a time: the positions of all tokens of a block would be large.
         first = 0
@@ -280,7 +277,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", d
     ``path`` names a byte-level BPE file on every machine; by default the installed public tokenizer is used."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    size = _tokenizer(path or public_tokenizers.path(tokenizer)).get_vocab_size()
+    size = _vocab_size(path or public_tokenizers.path(tokenizer))
     buckets = BUCKETS_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = rows.mapInArrow(_word_rows(buckets, block_chars), "bucket int, block long, words binary")
     table = words.repartition("bucket").sortWithinPartitions("bucket")

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,7 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def hand_back() -> None:
-    """Give the system the free memory that a worker has kept from the tasks it ran before."""
+    """Give the system the free memory that this process, a worker or the driver, has kept from what it ran before."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
@@ -82,6 +83,17 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
 
 
+def packed(values: list[int] | np.ndarray) -> bytes:
+    """Byte planes of 32-bit integers, compressed: small where most values are."""
+    planes = np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64 over uint64."""
     with np.errstate(over="ignore"):

@@ -361,9 +361,10 @@ class Join:
 
     def prefixes(self, group: DataFrame) -> DataFrame:
         """(node, n, grp, tokens, odd) of every node, written."""
-        top = self.counts.orderBy(F.desc("count"), "token").limit(FREQUENT).collect()  # at most FREQUENT numbers
-        known = np.array([r["token"] for r in top], np.int64).view(np.uint64)
-        rank = np.log2(np.array([r["count"] for r in top], float) + 1).astype(np.int32) if top else np.zeros(0, np.int32)
+        # At most FREQUENT numbers, as arrays: the tasks' lists are merged by a task, not by the driver.
+        top = self.counts.orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
+        known = top["token"].to_numpy().view(np.uint64)
+        rank = np.log2(top["count"].to_numpy().astype(float) + 1).astype(np.int32)
         by = np.argsort(known)
         order = self.rows.sparkSession.sparkContext.broadcast((known[by], rank[by]))
         found = self.rows.mapInArrow(_prefix_rows(self.size, order), "id long, n int, f1 long, f2 long, tokens binary, odd binary")

@@ -6,7 +6,7 @@ over the two classes follow. All vectors are trained by numpy stochastic gradien
 
 Training takes a bounded sample of the labelled rows: at most ``SAMPLE_ROWS`` documents with at most
 ``SAMPLE_CHARS`` characters in all, in the order of a hash of the id. Features are made by the executors; the
-driver gets hashed counts of the sample only. For scoring, the softmax layer is folded into the vectors
+driver gets hashed counts of the sample only, compressed, and unpacks one document a step. For scoring, the softmax layer is folded into the vectors
 (one number a bucket, 512 KB), which is exact because the mean is linear; that table goes to every task.
 
 Null, empty and white-space-only texts have no features and get the share of label 1 in the training sample
@@ -17,14 +17,15 @@ for itself; further columns pass unseen. Words over ``CHUNK`` characters are tak
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _POWERS, prefix_hash, read
+from .common import _POWERS, hand_back, packed, prefix_hash, read, unpacked
 
 BITS = 17
 BUCKETS = 1 << BITS
@@ -91,12 +92,36 @@ def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, total[ids]
 
 
-def train(rows: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
+class Sample(Sequence):
+    """Rows of (label, buckets, counts), held compressed: a row is unpacked when it is asked for."""
+
+    def __init__(self, rows: list[tuple[float, bytes, bytes]]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[float, np.ndarray, np.ndarray]:
+        y, gaps, n = self.rows[i]
+        return y, _buckets(gaps), unpacked(n).view("<f4")
+
+    @staticmethod
+    def row(ids: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+        """Of ascending buckets the gaps, and the counts' bits."""
+        return packed(np.diff(ids, prepend=0)), packed(n.view("<u4"))
+
+
+def _buckets(gaps: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(gaps), dtype=np.int32)
+
+
+def train(rows: Sequence[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
     """Rows of (label, buckets, counts) to (logit weight of each bucket, bias)."""
-    share = sum(y for y, _, _ in rows) / len(rows) if rows else 0.5
+    known = [(y, len(ids)) for y, ids, _ in rows]
+    share = sum(y for y, _ in known) / len(known) if known else 0.5
     weights, prior = np.zeros(BUCKETS, np.float32), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    usable = [row for row in rows if len(row[1])]
-    if len({y >= 0.5 for y, _, _ in usable}) < 2:
+    usable = [i for i, (_, size) in enumerate(known) if size]
+    if len({known[i][0] >= 0.5 for i in usable}) < 2:
         return weights, prior
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
@@ -104,7 +129,7 @@ def train(rows: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     steps, step = EPOCHS * len(usable), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(usable)):
-            y, ids, n = usable[i]
+            y, ids, n = rows[usable[i]]
             share_of = n / n.sum()
             rate = RATE * (1 - step / steps)
             step += 1
@@ -155,7 +180,7 @@ def score_texts(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarra
     return 1 / (1 + np.exp(-np.clip(out + bias, -500, 500)))
 
 
-def sample_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, chars: int) -> list[tuple[float, np.ndarray, np.ndarray]]:
+def sample_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, chars: int) -> Sequence[tuple[float, np.ndarray, np.ndarray]]:
     """Features of the bounded training sample."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.avg("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(rows)
@@ -174,18 +199,22 @@ def sample_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, n = counted(batch.column(2)[i].as_py())
-                yield pa.RecordBatch.from_pydict({"id": pa.array([str(batch.column(0)[i].as_py())]), "y": [batch.column(1)[i].as_py()], "ids": [ids.tobytes()], "n": [n.tobytes()]})
+                ids, n = Sample.row(*counted(batch.column(2)[i].as_py()))
+                yield pa.RecordBatch.from_pydict({"id": pa.array([str(batch.column(0)[i].as_py())]), "y": [batch.column(1)[i].as_py()], "ids": [ids], "n": [n]})
 
     chosen = docs.sparkSession.createDataFrame([(k,) for k in kept], joined.select("id").schema)
     made = joined.join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(run, "id string, y double, ids binary, n binary")
-    out = [(r.id, r.y, np.frombuffer(r.ids, np.int32), np.frombuffer(r.n, np.float32)) for r in made.collect()]
-    return [(y, ids, n) for _, y, ids, n in sorted(out, key=lambda r: (r[0], r[2].tobytes()))]
+    out = made.collect()
+    often = Counter(r.id for r in out)
+    out.sort(key=lambda r: (r.id, _buckets(r.ids).tobytes() if often[r.id] > 1 else b""))
+    return Sample([(r.y, r.ids, r.n) for r in out])
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, float]:
     """(weights, bias) of the model trained on the bounded sample of ``labels``."""
-    return train(sample_features(docs, labels, id_col, text_col, label_col, rows, chars))
+    model = train(sample_features(docs, labels, id_col, text_col, label_col, rows, chars))
+    hand_back()
+    return model
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], *, text_col: str = "text", score_col: str = "score") -> DataFrame:
