@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,28 @@ def test_pipeline_reads_texts_in_small_batches(spark, monkeypatch):
     assert batches.value and not large.value  # of 30 MB
 
 
+def test_pipeline_holds_few_texts_at_once(spark, tmp_path):
+    """Every stage reads, writes and sends to Python some MB of texts; rows and texts are those given."""
+    settings = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize", "parquet.block.size"]
+    rng = np.random.default_rng(3)
+    texts = [rng.bytes(20_000).hex() for _ in range(1500)]  # 60 MB, 30 MB as Parquet
+    pq.write_table(pa.table({"doc_id": pa.array(range(1500), pa.int64()), "text": texts}), tmp_path / "in.parquet", row_group_size=1500)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        for key in settings:
+            spark.conf.unset(key)
+        out = stage(spark, spark.read.parquet(str(tmp_path / "in.parquet")).coalesce(1), SF)
+        assert int(spark.conf.get(settings[1])) <= 512, name
+        sizes = out.select("text").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long")
+        assert max(r.size for r in sizes.collect()) <= 4 << 20, name
+        out.coalesce(1).write.parquet(str(tmp_path / name))
+        (file,) = (tmp_path / name).glob("*.parquet")
+        groups = pq.ParquetFile(file).metadata
+        assert max(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)) <= 40 << 20, name
+        assert groups.num_row_groups > 1, name
+        rows = pq.read_table(file)
+        assert dict(zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), strict=True)) == dict(enumerate(texts)), name
+
+
 @pytest.mark.parametrize("chars", [1, 3000, 10**7])
 def test_bpe_blocks_of_any_size(spark, library, chars):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)

@@ -22,7 +22,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The same in Java's and RE2's regular expressions.
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
-BATCH_BYTES = 8 << 20
+#: Of whole texts: what goes to Python at once, the rows that are decoded from Parquet at once, and what a writer gathers.
+BATCH_BYTES, READ_ROWS, ROW_GROUP_BYTES = 2 << 20, 256, 16 << 20
 
 _ODD = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -32,8 +33,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in batches of some MB: a batch is held on both sides, and in each task, while it is read."""
+    """Whole texts are read, written and go to Python some MB at a time: each task holds such a batch, the last on both
+    sides, and the memory that an executor has taken for large ones stays taken in the stages after."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
+    spark.conf.set("parquet.block.size", ROW_GROUP_BYTES)
 
 
 def hand_back() -> None:
